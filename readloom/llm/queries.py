@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_qda, quality_rules, toxicity
+from . import licenses, packing, quality_qda, quality_rules, secrets, toxicity
 from .store import table
 
 
@@ -22,8 +22,22 @@ def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_toxicity, op6_quality_rules, op7_quality_qda)
+    named = (op2_toxicity, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses)
     return {f.__name__: f for f in named}
 
 
