@@ -95,7 +95,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", mod: int
     Without two rows of each label the score is the share of label 1, or 0.5 without any.
     """
     rows = labelled(docs, labels, column, limit, mod, held).select("text", "label").mapInArrow(_rows, "x array<double>, label int").limit(2 * limit).collect()
-    return fit(np.array([r.x for r in rows]).reshape(len(rows), -1), np.array([r.label for r in rows], float), **how)
+    return fit(np.array([r.x for r in rows]).reshape(len(rows), -1) if rows else np.zeros((0, 1)), np.array([r.label for r in rows], float), **how)
 
 
 def _score_batches(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

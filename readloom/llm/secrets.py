@@ -39,7 +39,10 @@ OWNERS, REPOSITORIES = 2, 5
 MASK = "[SECRET]"
 
 _SPAN = "struct<start:bigint,rank:int,stop:bigint,hash:bigint>"
-_NONE = F.array().cast(f"array<{_SPAN}>")
+
+
+def _none() -> Column:
+    return F.array().cast(f"array<{_SPAN}>")
 
 
 def _spans(text: Column, kind: str, pattern: str, group: int) -> Column:
@@ -60,8 +63,8 @@ def _spans(text: Column, kind: str, pattern: str, group: int) -> Column:
         return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("0"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("1"))
-    found = F.aggregate(zipped, F.struct(F.lit(0).cast("long").alias("at"), _NONE.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), found).otherwise(_NONE)
+    found = F.aggregate(zipped, F.struct(F.lit(0).cast("long").alias("at"), _none().alias("out")), step, lambda acc: acc["out"])
+    return F.when(text.rlike(pattern), found).otherwise(_none())
 
 
 def _scan(docs: DataFrame, keep: list[str], owner: str) -> DataFrame:
@@ -108,9 +111,10 @@ def secrets(docs: DataFrame, owner: str = "source") -> DataFrame:
     rows = some.select("doc_id", "__all").unionByName(none.select("doc_id", "__all")).withColumn("__all", F.coalesce("__all", F.array().cast(judged.schema["__all"].dataType)))
     base = F.filter("__all", lambda s: s["rank"] < len(BASE_KINDS))
     number = lambda test: F.size(F.filter("__all", test)).cast("long")
+    of_kind = lambda k: lambda s: s["rank"] == k
     return rows.select(
         "doc_id",
-        *(number(lambda s, k=k: s["rank"] == k).alias(f"n_{kind}") for k, kind in enumerate(BASE_KINDS)),
+        *(number(of_kind(k)).alias(f"n_{kind}") for k, kind in enumerate(BASE_KINDS)),
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("__all")).alias("spans"),
         number(lambda s: ~s["copied"]).alias("n_live"),

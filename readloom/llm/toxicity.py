@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", mod: int =
     every = _lexicon(term, c[:, 0].sum(1), c[:, 1].sum(1))
     learnt = [_lexicon(term, c[:, 0].sum(1) - c[:, 0, k], c[:, 1].sum(1) - c[:, 1, k]) for k in range(PARTS)]
     got = sample.mapInArrow(lambda batches: _feature_batches(learnt, batches), "x array<double>, label int").collect()
-    x = np.array([r.x for r in got]).reshape(len(got), -1)
+    x = np.array([r.x for r in got]).reshape(len(got), -1) if got else np.zeros((0, 1))
     return Model(every, fit_scores(x, np.array([r.label for r in got], float), **how))
 
 
