@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, packing, quality_qda, quality_rules, secrets, toxicity
+from . import jaccard_join, licenses, packing, quality_qda, quality_rules, secrets, toxicity
 from .store import table
 
 
@@ -36,8 +36,12 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_toxicity, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses)
+    named = (op2_toxicity, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join)
     return {f.__name__: f for f in named}
 
 

@@ -150,6 +150,13 @@ def per_doc(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return total[offs[1:]] - total[offs[:-1]]
 
 
+def per_doc_u64(values: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Sums modulo 2 ** 64 of values[bound[d]:bound[d + 1]]."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=total[1:])
+    return total[bound[1:]] - total[bound[:-1]]
+
+
 def repeated(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(which keys occur twice or more in their text, which are no first occurrence in it)."""
     both = mix(key + (doc.astype(np.uint64) + U64(1)) * U64(0x9E3779B97F4A7C15))
