@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, licenses, packing, quality_qda, quality_rules, secrets, toxicity
+from . import jaccard_join, licenses, packing, quality_qda, quality_rules, secrets, topk, toxicity
 from .store import table
 
 
@@ -22,6 +22,26 @@ def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.topk(table(spark, sf_dir, "embeddings"))
+
+
+OP3_SQL = """
+with v as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.r, q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.r <> c.r
+  where q.vec_id % 20 = 0
+), k as (
+  select query_id, vec_id, score, row_number() over (partition by r order by score desc, vec_id) as rank from s
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from k where rank <= 20
+"""
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
@@ -41,9 +61,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_toxicity, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join)
+    named = (op2_toxicity, op3_block_topk, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join)
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_block_topk": OP3_SQL}
