@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, licenses, packing, quality_qda, quality_rules, secrets, topk, toxicity
+from . import jaccard_join, licenses, merge_dropout, packing, quality_qda, quality_rules, secrets, topk, toxicity
 from .store import table
 
 
+def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return merge_dropout.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,7 +67,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_toxicity, op3_block_topk, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join)
+    named = (op1_merge_dropout, op2_toxicity, op3_block_topk, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join)
     return {f.__name__: f for f in named}
 
 
