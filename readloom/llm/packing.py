@@ -21,14 +21,18 @@ from . import textbatch as tb
 from .store import cut
 
 WINDOW, END = 4096, 2
-#: Words kept with their ids in a Python worker; longer words are tokenised anew each time.
-CACHED, CACHED_BYTES = 400_000, 64
+#: Words kept with their ids in a Python worker (some 40 bytes each).
+CACHED = 2_000_000
+#: ASCII marks that the tokenizer cuts off behind an ASCII letter or digit. Not ', which begins endings of its own, nor < | >, which special tokens have.
+_TRAIL = tb.byte_table(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")
+_ALNUM = tb.byte_table(bytes([*range(48, 58), *range(65, 91), *range(97, 123)]))
 
 
 class WordIds:
-    """Ids of white-space separated words, which this tokenizer treats one by one; frequent words are tokenised once.
+    """Ids of the parts of words that this tokenizer treats one by one; frequent parts are tokenised once.
 
-    Words go to the tokenizer many at a time with a special token between them, so one call serves all of them.
+    Parts are white-space separated words, and of those the marks at the end; ASCII parts count in lower case, as the
+    tokenizer lowers them anyway. Parts go to the tokenizer many at a time with a special token between them.
     """
 
     _made: dict[str, WordIds] = {}
@@ -43,65 +47,74 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        known = self.tokenizer.get_added_tokens_decoder()
-        self.special = [t.content for t in known.values()]
-        self.mark_id, self.mark = min((k, t.content) for k, t in known.items())
+        self.mark_id, self.mark = min((k, t.content.encode()) for k, t in self.tokenizer.get_added_tokens_decoder().items())
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[int, int] = {}
-        self.start, self.size, self.flat, self.n_flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
-
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(words)
-        plain = []
-        for k, w in enumerate(words):
-            if any(s in w for s in self.special):
-                out[k] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
-            else:
-                plain.append(k)
-        for lo in range(0, len(plain), 4000):
-            some = plain[lo : lo + 4000]
-            ids = np.array(self.tokenizer.encode(self.mark.join(words[k] for k in some), add_special_tokens=False).ids, np.uint32)
-            for k, part in zip(some, np.split(ids, np.flatnonzero(ids == self.mark_id)), strict=True):
-                out[k] = part[1:] if len(part) and part[0] == self.mark_id else part
-        return out
-
-    def _add(self, keys: list[int], ids: list[np.ndarray]) -> None:
-        n, more = len(self.at), sum(map(len, ids))
-        while n + len(keys) > len(self.start):
-            self.start, self.size = np.concatenate([self.start, self.start]), np.concatenate([self.size, self.size])
-        if self.n_flat + more > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(more, len(self.flat)), np.uint32)])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.size[n : n + len(keys)] = sizes
-        self.start[n : n + len(keys)] = self.n_flat + np.cumsum(sizes) - sizes
-        if more:
-            self.flat[self.n_flat : self.n_flat + more] = np.concatenate(ids)
-        self.n_flat += more
-        self.at.update(zip(keys, range(n, n + len(keys)), strict=True))
+        #: Sorted hashes of the parts, and where each one's ids begin and how many there are.
+        self.key, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat, self.n_flat = np.zeros(1 << 16, np.uint32), 0
+
+    def _ids(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _tokenise(self, parts: list[bytes], special: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, and of each part where they begin and how many they are; parts that may hold a special token go alone."""
+        sizes, out = np.zeros(len(parts), np.int32), []
+        order = np.concatenate([np.flatnonzero(~special), np.flatnonzero(special)])
+        plain = len(parts) - int(special.sum())
+        for lo in range(0, plain, 4000):
+            some = order[lo : min(lo + 4000, plain)]
+            ids = self._ids(self.mark.join([parts[k] for k in some]))
+            cuts = np.flatnonzero(ids == self.mark_id)
+            sizes[some] = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            out.append(np.delete(ids, cuts))
+        for k in order[plain:]:
+            out.append(self._ids(parts[k]))
+            sizes[k] = len(out[-1])
+        start = np.zeros(len(parts), np.int64)
+        start[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate(out) if out else np.zeros(0, np.uint32), start, sizes
+
+    def _add(self, key: np.ndarray, ids: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> None:
+        while self.n_flat + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        self.flat[self.n_flat : self.n_flat + len(ids)] = ids
+        at = np.searchsorted(self.key, key)
+        self.key, self.start, self.size = (np.insert(a, at, b) for a, b in ((self.key, key), (self.start, start + self.n_flat), (self.size, sizes)))
+        self.n_flat += len(ids)
 
     def slice_ids(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts of a slice, and how many each text has."""
         r = tb.runs(buf, offs, tb.SPACE)
         if not r.n:
             return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
-        # two hashes of 64 bits would be alike only for words of one length too: the length is part of the hash
-        keys, first, of = np.unique(tb.run_hash(buf, r), return_index=True, return_inverse=True)
-        if len(self.at) + len(keys) > CACHED:
+        # the marks at a word's end, if an ASCII letter or digit stands before them
+        stop = np.flatnonzero(~_TRAIL[buf])
+        last = np.searchsorted(stop, r.end) - 1
+        core = np.where(last >= 0, stop[np.maximum(last, 0)] + 1, 0)
+        cut_off = (core > r.start) & (core < r.end) & _ALNUM[buf[np.maximum(core, 1) - 1]]
+        start, end, doc = (np.concatenate([x, y]) for x, y in ((r.start, core[cut_off]), (np.where(cut_off, core, r.end), r.end[cut_off]), (r.doc, r.doc[cut_off])))
+        order = np.argsort(start, kind="stable")
+        parts = tb.Runs(start[order], end[order], doc[order], r.first)
+        count = lambda mask: (lambda c: c[parts.end] - c[parts.start])(np.concatenate([[0], np.cumsum(mask)]))
+        special, foreign = count(buf == 60) > 0, count(buf >= 128) > 0
+        as_is = special | foreign
+        h = np.where(as_is, tb.mix(tb.run_hash(buf, parts)), tb.run_hash(buf, parts, tb.LOWER))
+        keys, first, of = np.unique(h, return_index=True, return_inverse=True)
+        new = np.flatnonzero(~tb.member(keys, self.key))
+        if len(self.key) + len(new) > CACHED or self.n_flat > 8 * CACHED:
             self.clear()
-        raw = buf.tobytes()
-        new = [k for k, key in enumerate(keys.tolist()) if key not in self.at]
-        words = [raw[r.start[first[k]] : r.end[first[k]]].decode() for k in new]
-        self._add([int(keys[k]) for k in new], self._ids(words))
-        at = np.fromiter((self.at[k] for k in keys.tolist()), np.int64, len(keys))[of]
-        size, start = self.size[at], self.start[at]
+            new = np.arange(len(keys))
+        if len(new):
+            at, raw, low = first[new], buf.tobytes(), tb.LOWER[buf].tobytes()
+            texts = [(raw if x else low)[a:b] for a, b, x in zip(parts.start[at].tolist(), parts.end[at].tolist(), as_is[at].tolist(), strict=True)]
+            self._add(keys[new], *self._tokenise(texts, special[at]))
+        at = np.searchsorted(self.key, keys)[of]
+        size, begin = self.size[at].astype(np.int64), self.start[at]
         total = np.cumsum(size)
-        ids = self.flat[np.repeat(start - (total - size), size) + np.arange(total[-1])]
-        per_text = np.bincount(r.doc, weights=size, minlength=len(offs) - 1).astype(np.int64)
-        if self.n_flat > 40 * CACHED or any(len(w) > CACHED_BYTES for w in words):
-            self.clear()
-        return ids, per_text
+        ids = self.flat[np.repeat(begin - (total - size), size) + np.arange(total[-1])]
+        return ids, np.bincount(parts.doc, weights=size, minlength=len(offs) - 1).astype(np.int64)
 
 
 def _tokenise(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
