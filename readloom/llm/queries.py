@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, licenses, merge_dropout, packing, quality_qda, quality_rules, secrets, topk, toxicity
+from . import jaccard_join, licenses, merge_dropout, packing, pitman_yor, quality_qda, quality_rules, secrets, topk, toxicity
 from .store import table
 
 
@@ -32,6 +32,10 @@ def op3_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.topk(table(spark, sf_dir, "embeddings"))
 
 
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scores(table(spark, sf_dir, "documents"))
+
+
 OP3_SQL = """
 with v as (
   select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
@@ -67,7 +71,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_merge_dropout, op2_toxicity, op3_block_topk, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join)
+    named = (op1_merge_dropout, op2_toxicity, op3_block_topk, op4_pitman_yor, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join)
     return {f.__name__: f for f in named}
 
 
