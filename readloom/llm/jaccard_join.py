@@ -226,8 +226,27 @@ def join(docs: DataFrame) -> DataFrame:
     no links, and a class of its own with the others without words only if its doc_id is the same. Repeated rows
     are documents of one set. An empty table gives an empty one; columns other than doc_id and text are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = cut(docs.select("doc_id", F.col("text").alias("t")).mapInArrow(_sketch, "doc_id long, k1 long, k2 long, n long, sig array<int>"), "sketches")
+    return _classes(docs, ()).drop("__class")
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, one of each class: the smallest doc_id (null last), of repeated ids any one row.
+
+    Texts without words are in no class and all stay.
+    """
+    held = cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "documents")
+    rows = cut(_classes(held.select("doc_id", "text", "__uid"), ("__uid",)).where("__class is not null").select("__class", "doc_id", "__uid"), "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__uid")).alias("first")
+    several = cut(rows.groupBy("__class").agg(first, F.count("*").alias("n")).where("n > 1").select("__class", F.col("first.__uid").alias("__first")), "first-rows")
+    gone = rows.join(several, "__class").where("__uid != __first").select("__uid")
+    return held.join(cut(gone, "gone"), "__uid", "left_anti").select(*docs.columns)
+
+
+def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The columns of `join` with `keep`, and __class, a number of the class (null without words)."""
+    docs = docs.select(*keep, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = ", ".join(f"{c} {t}" for c, t in docs.dtypes[:-1])
+    sketch = cut(docs.mapInArrow(_sketch, own + ", k1 long, k2 long, n long, sig array<int>"), "sketches")
     worded = sketch.where("n > 0")
     sets = worded.groupBy("k1", "k2", "n", "sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     sets = cut(sets.withColumn("rid", F.monotonically_increasing_id()), "sets")
@@ -277,7 +296,7 @@ def join(docs: DataFrame) -> DataFrame:
     named = sets.select("k1", "k2", "rid", "rep", "copies").join(degree, "rid", "left").join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     named = cut(named, "named")
     least = cut(named.groupBy("label").agg(F.min("rep").alias("least")), "least")
-    named = cut(named.join(least, "label").select("k1", "k2", F.coalesce("least", -1 - F.col("label")).alias("class_id"), (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_texts"), F.col("copies").alias("n_copies")), "classes")
-    out = worded.select("doc_id", "k1", "k2").join(named, ["k1", "k2"]).drop("k1", "k2")
-    none = sketch.where("n = 0").select("doc_id", F.coalesce("doc_id", F.lit(-1)).alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_texts"), F.lit(1).cast("long").alias("n_copies"))
+    named = cut(named.join(least, "label").select(F.col("label").alias("__class"), "k1", "k2", F.coalesce("least", -1 - F.col("label")).alias("class_id"), (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_texts"), F.col("copies").alias("n_copies")), "classes")
+    out = worded.select(*keep, "doc_id", "k1", "k2").join(named, ["k1", "k2"]).drop("k1", "k2")
+    none = sketch.where("n = 0").select(*keep, "doc_id", F.lit(None).cast("long").alias("__class"), F.coalesce("doc_id", F.lit(-1)).alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_texts"), F.lit(1).cast("long").alias("n_copies"))
     return out.unionByName(none)

@@ -181,15 +181,21 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", mod: int =
     return Model(every, fit_scores(x, np.array([r.label for r in got], float), **how))
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The columns `keep` and `score` (0 to 1, higher: toxic likelier) of every row.
+def _scored(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of docs as k0, k1, ... and score: no name can clash."""
+    kept = docs.toDF(*(f"k{n}" for n in range(len(docs.columns))))
+    rows = kept.withColumn("text", F.col(f"k{docs.columns.index('text')}"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields) + ", score double"
+    return rows.mapInArrow(lambda batches: _score_batches(model, batches), schema)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score (0 to 1, higher: toxic likelier) of every row.
 
     A null text counts as empty; empty texts get the score of their features; repeated rows stay, each with the
     same score; the score depends on the text alone; an empty table gives an empty one; other columns are not read.
     """
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", score double"
-    return rows.mapInArrow(lambda batches: _score_batches(model, batches), schema)
+    return _scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model).select(F.col("k0").alias("doc_id"), "score")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, limit: int = 20000, threshold: float = 0.5) -> DataFrame:
@@ -200,9 +206,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, limit: int = 20000, threshold:
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents, all columns, whose score is under the threshold."""
-    names = docs.columns
-    flat = docs.select(*names, F.col("text").alias("__scored"))
-    scored = score(flat, train(docs, labels), keep=tuple(names), text="__scored")
-    # `score` may clash with a column of the documents: it is the last one here
-    scored = scored.toDF(*names, "__score")
-    return scored.where(F.col("__score") < threshold).select(*names)
+    out = _scored(docs, train(docs, labels)).where(F.col("score") < threshold)
+    return out.drop("score").toDF(*docs.columns)
