@@ -1 +1 @@
-
+"""Column expressions; everything here runs in the JVM."""
