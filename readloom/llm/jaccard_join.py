@@ -246,7 +246,7 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """The columns of `join` with `keep`, and __class, a number of the class (null without words)."""
     docs = docs.select(*keep, F.col("doc_id").cast("long").alias("doc_id"), "text")
     own = ", ".join(f"{c} {t}" for c, t in docs.dtypes[:-1])
-    sketch = cut(docs.mapInArrow(_sketch, own + ", k1 long, k2 long, n long, sig array<int>"), "sketches")
+    sketch = cut(docs.mapInArrow(lambda batches: tb.tidy(_sketch(batches)), own + ", k1 long, k2 long, n long, sig array<int>"), "sketches")
     worded = sketch.where("n > 0")
     sets = worded.groupBy("k1", "k2", "n", "sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     sets = cut(sets.withColumn("rid", F.monotonically_increasing_id()), "sets")
@@ -287,7 +287,7 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     wanted = sets.select("rid", "k1", "k2").join(chosen.select("rid").distinct(), "rid")
     wanted = cut(wanted, "wanted")
     bits = _filter_bits(wanted)
-    found = docs.select("text").mapInArrow(lambda batches: _sets(bits, batches), "k1 long, k2 long, shingles binary").dropDuplicates(["k1", "k2"])
+    found = docs.select("text").mapInArrow(lambda batches: tb.tidy(_sets(bits, batches)), "k1 long, k2 long, shingles binary").dropDuplicates(["k1", "k2"])
     found = cut(wanted.join(found, ["k1", "k2"]).select("rid", "shingles"), "shingles")
     links = cut(chosen.join(found, "rid").groupBy("path", "ta", "tb").applyInArrow(_links, _LINK_SCHEMA), "links")
 

@@ -241,4 +241,4 @@ def licenses(docs: DataFrame) -> DataFrame:
     rules' detections in code points. A null or empty text has no words and empty labels. Repeated rows are scanned each
     for itself; an empty table gives an empty one; columns other than doc_id and text are not read.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_batches, "doc_id long, " + _COLUMNS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda batches: tb.tidy(_batches(batches)), "doc_id long, " + _COLUMNS)

@@ -295,7 +295,7 @@ def encode(docs: DataFrame, model: str, rate: float = RATE, seed: int = SEED) ->
     mostly get different ones. A null id is one id. An empty table gives an empty one; other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(lambda b: _encode(model, rate, seed, b), "doc_id long, ids array<int>, n_ids int, lossless boolean")
+    return rows.mapInArrow(lambda b: tb.tidy(_encode(model, rate, seed, b)), "doc_id long, ids array<int>, n_ids int, lossless boolean")
 
 
 def _decode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,4 +312,4 @@ def _decode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """doc_id and text of encoded documents; null or no ids give an empty text."""
-    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(lambda b: _decode(model, b), "doc_id long, text string")
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(lambda b: tb.tidy(_decode(model, b)), "doc_id long, text string")

@@ -22,7 +22,7 @@ from .store import cut
 
 WINDOW, END = 4096, 2
 #: Words kept with their ids in a Python worker (some 40 bytes each).
-CACHED = 2_000_000
+CACHED = 1_000_000
 #: ASCII marks that the tokenizer cuts off behind an ASCII letter or digit. Not ', which begins endings of its own, nor < | >, which special tokens have.
 _TRAIL = tb.byte_table(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")
 _ALNUM = tb.byte_table(bytes([*range(48, 58), *range(65, 91), *range(97, 123)]))
@@ -165,11 +165,11 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    ids = cut(rows.mapInArrow(lambda batches: _tokenise(tokenizer, batches), "doc_id long, part int, before long, n long, ids binary, wide boolean"), "packed-ids")
+    ids = cut(rows.mapInArrow(lambda batches: tb.tidy(_tokenise(tokenizer, batches)), "doc_id long, part int, before long, n long, ids binary, wide boolean"), "packed-ids")
     first, total = [], 0
     for r in sorted(ids.groupBy("part").agg(F.sum("n").alias("n")).collect()):
         first.append((r.part, total))
         total += r.n
     begin = spark.createDataFrame(first, "part int, first long")
     placed = ids.join(F.broadcast(begin), "part").select("doc_id", (F.col("first") + F.col("before")).alias("at"), "n", "ids", "wide")
-    return placed.mapInArrow(lambda batches: _pieces(window, batches), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, boundary boolean")
+    return placed.mapInArrow(lambda batches: tb.tidy(_pieces(window, batches)), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, boundary boolean")

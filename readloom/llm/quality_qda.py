@@ -94,7 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", mod: int
 
     Without two rows of each label the score is the share of label 1, or 0.5 without any.
     """
-    rows = labelled(docs, labels, column, limit, mod, held).select("text", "label").mapInArrow(_rows, "x array<double>, label int").limit(2 * limit).collect()
+    rows = labelled(docs, labels, column, limit, mod, held).select("text", "label").mapInArrow(lambda batches: tb.tidy(_rows(batches)), "x array<double>, label int").limit(2 * limit).collect()
     return fit(np.array([r.x for r in rows]).reshape(len(rows), -1) if rows else np.zeros((0, 1)), np.array([r.label for r in rows], float), **how)
 
 
@@ -113,5 +113,5 @@ def quality(docs: DataFrame, labels: DataFrame, limit: int = 20000, threshold: f
     an empty table gives an empty one; columns other than doc_id and text are not read.
     """
     model = train(docs, labels, limit=limit)
-    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: _score_batches(model, batches), "doc_id long, score double")
+    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: tb.tidy(_score_batches(model, batches)), "doc_id long, score double")
     return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

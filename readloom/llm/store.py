@@ -1,35 +1,25 @@
-"""Tables written on the way, in the folder that driver and executors share."""
+"""Tables of a run: the given ones, and those written on the way in the folder that driver and executors share."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN: dict[str, str] = {}
+from ..plans import lineage
+
+#: Bytes of an Arrow batch between the JVM and Python: a few long texts, or some thousand usual ones.
+BATCH_BYTES = "8m"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a temporary folder of our own only where it is unset (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if where:
-        return where.rstrip("/")
-    if "dir" not in _OWN:
-        _OWN["dir"] = tempfile.mkdtemp(prefix="readloom-")
-        atexit.register(shutil.rmtree, _OWN["dir"], ignore_errors=True)
-    return "file://" + _OWN["dir"]
+def small_batches(spark: SparkSession) -> None:
+    """Batches small enough that an executor with little memory holds some of them at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends here, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/readloom/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    small_batches(df.sparkSession)
+    return lineage.cut(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

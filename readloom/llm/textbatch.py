@@ -7,6 +7,7 @@ holds about `SLICE` bytes, or one whole text if that is longer.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,16 @@ _POWER[0] = 1
 _POWER = np.cumprod(_POWER, dtype=np.uint64)
 
 
+def tidy(rows: Iterator) -> Iterator:
+    """The same rows; when they end, memory that the worker no longer uses goes back to the system."""
+    yield from rows
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def byte_table(chars: bytes) -> np.ndarray:
     out = np.zeros(256, bool)
     out[np.frombuffer(chars, np.uint8)] = True

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import textbatch as tb
 from .store import cut
 
 SCALE, K, EVERY = 64, 20, 20
@@ -159,7 +160,7 @@ def topk(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     """
     spark = vectors.sparkSession
     rows = cut(whole_numbers(vectors).withColumn("uid", F.monotonically_increasing_id()), "vectors")
-    blocks = cut(rows.repartitionByRange("vec_id", "uid").sortWithinPartitions("vec_id", "uid").mapInArrow(_blocks, _BLOCK_SCHEMA), "blocks")
+    blocks = cut(rows.repartitionByRange("vec_id", "uid").sortWithinPartitions("vec_id", "uid").mapInArrow(lambda batches: tb.tidy(_blocks(batches)), _BLOCK_SCHEMA), "blocks")
     tasks = max(1, min(blocks.count(), 4 * spark.sparkContext.defaultParallelism))
     queries = cut(rows.where(F.col("vec_id") % every == 0), "queries")
     groups = -(-queries.count() // GROUP)
@@ -170,10 +171,10 @@ def topk(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
         flat = np.array([c for r in got for c in r.v], np.int64)
         group = Group(np.array([r.uid for r in got], np.int64), np.array([r.vec_id for r in got], np.int64), dense(size, flat, int(size.max(initial=0))))
         spread = blocks.repartition(tasks)
-        first = _ranked(spread.mapInArrow(lambda b, group=group: _search(group, k, True, b), schema), k).where(F.col("rank") == k).select("uid", "score").collect()
+        first = _ranked(spread.mapInArrow(lambda b, group=group: tb.tidy(_search(group, k, True, b)), schema), k).where(F.col("rank") == k).select("uid", "score").collect()
         place = {u: n for n, u in enumerate(group.uid.tolist())}
         for r in first:
             group.floor[place[r.uid]] = r.score
-        found = cut(spread.mapInArrow(lambda b, group=group: _search(group, k, False, b), schema), "found")
+        found = cut(spread.mapInArrow(lambda b, group=group: tb.tidy(_search(group, k, False, b)), schema), "found")
         out = out.unionByName(_ranked(found, k).select("query_id", "rank", "vec_id", "score"))
     return out

@@ -169,14 +169,14 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", mod: int =
     rows = labelled(docs, labels, column, limit, mod, held).groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(F.max("label").alias("label"))
     sample = cut(rows.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int")).limit(limit), "toxic-sample")
     names = [f"c{k}" for k in range(2 * PARTS)]
-    found = sample.mapInArrow(_term_batches, "term long, " + ", ".join(f"{c} long" for c in names)).groupBy("term").agg(*(F.sum(c).alias(c) for c in names))
+    found = sample.mapInArrow(lambda batches: tb.tidy(_term_batches(batches)), "term long, " + ", ".join(f"{c} long" for c in names)).groupBy("term").agg(*(F.sum(c).alias(c) for c in names))
     toxic = sum((F.col(c) for c in names[:PARTS]), F.lit(0))
     kept = found.where((toxic >= LEAST_ROWS) & (2 * toxic >= sum((F.col(c) for c in names[PARTS:]), F.lit(0)))).orderBy(toxic.desc(), "term").limit(TERMS).collect()
     term = np.array([r.term for r in kept], np.int64).view(np.uint64)
     c = np.array([tuple(r)[1:] for r in kept], np.int64).reshape(len(kept), 2, PARTS)
     every = _lexicon(term, c[:, 0].sum(1), c[:, 1].sum(1))
     learnt = [_lexicon(term, c[:, 0].sum(1) - c[:, 0, k], c[:, 1].sum(1) - c[:, 1, k]) for k in range(PARTS)]
-    got = sample.mapInArrow(lambda batches: _feature_batches(learnt, batches), "x array<double>, label int").collect()
+    got = sample.mapInArrow(lambda batches: tb.tidy(_feature_batches(learnt, batches)), "x array<double>, label int").collect()
     x = np.array([r.x for r in got]).reshape(len(got), -1) if got else np.zeros((0, 1))
     return Model(every, fit_scores(x, np.array([r.label for r in got], float), **how))
 
@@ -186,7 +186,7 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
     kept = docs.toDF(*(f"k{n}" for n in range(len(docs.columns))))
     rows = kept.withColumn("text", F.col(f"k{docs.columns.index('text')}"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields) + ", score double"
-    return rows.mapInArrow(lambda batches: _score_batches(model, batches), schema)
+    return rows.mapInArrow(lambda batches: tb.tidy(_score_batches(model, batches)), schema)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
