@@ -2,7 +2,8 @@
 
 Work is done once for each different barcode, not for each read. Exact and reverse-complement hits are equi-joins. The
 rest meets the whitelist through shared deletion variants, an equi-join too, and distances are checked on these pairs
-only; thresholds over 2 compare all pairs of remaining barcodes and whitelist.
+only; thresholds over 2 compare all pairs of remaining barcodes and whitelist. Whitelist and different barcodes are written
+first, so Spark knows their sizes and broadcasts a whitelist only if it is small.
 """
 
 from __future__ import annotations
@@ -11,21 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import deletions2, reverse_complement, slice_half_open, usable
+from ..plans.lineage import cut
 
 NO_MATCH, AMBIGUOUS = "NMF", "ambiguous"
-#: Whitelists of at most this many rows are broadcast.
-BROADCAST_ROWS = 2_000_000
-
-
-def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table marked for broadcast if it has no more rows than that."""
-    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
 
 
 def _near(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
     """(seq, probe, barcode, place, dist): pairs of probe and barcode within the threshold, by Levenshtein distance."""
     if threshold > 2:
-        pairs = left.crossJoin(small(right))
+        pairs = left.crossJoin(right)
     else:
         # two sequences within 2 edits have a variant of at most 2 deletions each in common
         a = left.withColumn("key", F.explode(deletions2("probe")))
@@ -42,10 +37,10 @@ def correct(observed: DataFrame, whitelist: DataFrame, threshold: int = 2, limit
     then of its reverse complement, comma-joined in order of place; a barcode near to both is named twice, unless
     `distinct`. None: NMF, threshold + 1, 0. A missing sequence: NMF, -1, 0.
     """
-    white = whitelist.where(usable("barcode").isNotNull()).groupBy("barcode").agg(F.min("place").alias("place"))
-    seqs = observed.select(F.col("seq").cast("string").alias("seq")).distinct()
+    white = cut(whitelist.where(usable("barcode").isNotNull()).groupBy("barcode").agg(F.min("place").alias("place")), "whitelist")
+    seqs = cut(observed.select(F.col("seq").cast("string").alias("seq")).distinct(), "observed")
     known = F.coalesce(~F.col("seq").isin("", "nan", "None", "NaN"), F.lit(False))
-    there = small(white.select("barcode"))
+    there = white.select("barcode")
     found = seqs.where(known).withColumn("rc", reverse_complement("seq"))
     found = found.join(there.withColumnRenamed("barcode", "seq").withColumn("__own", F.lit(True)), "seq", "left")
     found = found.join(there.withColumnRenamed("barcode", "rc").withColumn("__rc", F.lit(True)), "rc", "left")
@@ -67,7 +62,7 @@ def correct(observed: DataFrame, whitelist: DataFrame, threshold: int = 2, limit
         F.coalesce("candidates", none).alias("candidates"),
     )
     missing = seqs.where(~known).select("seq", F.lit(NO_MATCH).alias("corrected"), F.lit(-1).alias("min_dist"), F.lit(0).alias("n_min"), none.alias("candidates"))
-    return out.unionByName(missing)
+    return cut(out.unionByName(missing), "corrected")
 
 
 def whitelist_barcodes(whitelist: DataFrame, column: str) -> DataFrame:
@@ -90,7 +85,7 @@ def cells(corrected: DataFrame, whitelist: DataFrame) -> DataFrame:
     """corrected with cell_id (text) and match_type, one barcode: the corrected text is looked up, so ties are ambiguous. Of repeated whitelist rows the last counts."""
     x = next(c for c in whitelist.columns if c != "cell_id")
     lookup = whitelist.groupBy(F.col(x).alias("__b")).agg(F.max("cell_id").alias("__cell"))
-    out = corrected.join(small(lookup), F.col(f"corrected_{x}") == F.col("__b"), "left")
+    out = corrected.join(lookup, F.col(f"corrected_{x}") == F.col("__b"), "left")
     return _named(out, F.col("__cell")).drop("__b", "__cell")
 
 
@@ -103,7 +98,7 @@ def cells_unique(corrected: DataFrame, whitelist: DataFrame) -> DataFrame:
     """The other rule for one barcode: a cell if exactly one whitelist row is among the candidates, named twice or not."""
     x = next(c for c in whitelist.columns if c != "cell_id")
     key = corrected.select(f"corrected_{x}").distinct()
-    hit = key.withColumn("__b", F.explode(F.array_distinct(F.split(F.col(f"corrected_{x}"), ",")))).join(small(whitelist.select(F.col(x).alias("__b"), "cell_id")), "__b")
+    hit = key.withColumn("__b", F.explode(F.array_distinct(F.split(F.col(f"corrected_{x}"), ",")))).join(whitelist.select(F.col(x).alias("__b"), "cell_id"), "__b")
     one = hit.groupBy(f"corrected_{x}").agg(F.count("*").alias("n"), F.min("cell_id").alias("__cell")).where("n = 1").drop("n")
     return _named(corrected.join(one, f"corrected_{x}", "left"), F.col("__cell")).drop("__cell")
 
@@ -114,14 +109,14 @@ def cells_multi(corrected: DataFrame, whitelist: DataFrame, columns: list[str])
     A column without a candidate makes the read ambiguous. Different candidate sets are looked up once. A cell meets the
     candidates by equi-joins of single columns, and agreements are added up.
     """
-    sets = [F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(F.col(f"corrected_{x}"), F.lit("")), ","), F.trim), lambda t: ~t.isin("", NO_MATCH)))).alias(f"__{x}") for x in columns]
+    sets = [F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(F.col(f"corrected_{x}"), F.lit("")), ","), lambda t: F.trim(t)), lambda t: ~t.isin("", NO_MATCH)))).alias(f"__{x}") for x in columns]
     rows = corrected.select("*", *sets)
     keys = rows.select(*(f"__{x}" for x in columns)).distinct()
     for x in columns:
         keys = keys.where(F.size(f"__{x}") > 0)
     hits = None
     for x in columns:
-        one = keys.withColumn("candidate", F.explode(f"__{x}")).join(small(whitelist.select(F.col(x).alias("candidate"), "cell_id")), "candidate").select(*(f"__{c}" for c in columns), "cell_id")
+        one = keys.withColumn("candidate", F.explode(f"__{x}")).join(whitelist.select(F.col(x).alias("candidate"), "cell_id"), "candidate").select(*(f"__{c}" for c in columns), "cell_id")
         hits = one if hits is None else hits.unionByName(one)
     agree = hits.groupBy(*(f"__{x}" for x in columns), "cell_id").agg(F.count("*").alias("n"))
     best = agree.groupBy(*(f"__{x}" for x in columns), "n").agg(F.count("*").alias("ties"), F.min("cell_id").alias("__cell"))

@@ -26,7 +26,7 @@ def cell_column(columns: list[str]) -> str | None:
 
 
 def barcode_types(columns: list[str]) -> list[str]:
-    return [m[1] for c in columns if (m := re.fullmatch(r"corrected_(.+)_min_dist", c))]
+    return [m[1] for c in columns if (m := re.fullmatch(r"corrected_(.+)_min_dist", c)) and not m[1].endswith("_counts_with")]
 
 
 def segments(columns: list[str]) -> list[str]:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions import sequences as sq
 from .operators import alignments as al
 from .operators import assess, barcodes, binning, discovery, qc, structure
+from .plans.lineage import cut
 
 SEGMENTS = structure.Segments(
     codes=(("5p", "5"), ("CBC", "C"), ("UMI", "U"), ("polyT", "T"), ("cDNA", "D"), ("3p", "3"), ("polyA", "A")),
@@ -70,7 +71,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """cell_id in order of barcodes, CBC."""
     known = reads(spark, sf_dir).select(F.col("cbc0").alias("CBC"), F.lit(1).alias("read_count")).distinct()
-    return discovery.ranked(known).select(F.col("rank").cast("long").alias("cell_id"), "CBC")
+    return cut(discovery.ranked(known).select(F.col("rank").cast("long").alias("cell_id"), "CBC"), "whitelist")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -293,9 +294,9 @@ def near_duplicate_pairs(spark, sf_dir):
 
 
 @query(f"""
-with recursive c as (select *, row_number() over (order by read_count desc, "CBC") as o from ({_COUNTS})), p as (select a.o, min(b.o) as first from c a join c b on b.o < a.o and levenshtein(a."CBC", b."CBC") = 1 group by a.o),
+with recursive c as materialized (select *, row_number() over (order by read_count desc, "CBC") as o from ({_COUNTS})),
 q as (select a.o, list(b.o order by b.o) as nb from c a join c b on b.o < a.o and levenshtein(a."CBC", b."CBC") = 1 group by a.o),
-w as (select o, coalesce(nb, []) as nb from c left join q using (o)),
+w as materialized (select o, coalesce(nb, []) as nb from c left join q using (o)),
 t as (select 0::bigint as o, []::bigint[] as canon, 0::bigint as target union all
   select w.o, case when len(list_intersect(w.nb, t.canon)) = 0 then list_append(t.canon, w.o) else t.canon end, coalesce(list_min(list_intersect(w.nb, t.canon)), w.o) from t join w on w.o = t.o + 1)
 select c."CBC", c.read_count, d."CBC" as canonical from t join c on c.o = t.o join c d on d.o = t.target""")
@@ -318,7 +319,7 @@ def barcode_statuses(spark, sf_dir):
 
 #: Alignments: contig by event type, places and UMIs with many near copies, flags that mark some as secondary or supplementary.
 _ALN = f"""
-select event_id as ord, concat("ReadName", '_', cast(user_id % 20 as varchar(20)), '_', case when m = 7 then concat(substring(umi, 1, 5), translate(substring(umi, 6, 1), 'ACGT', 'CGTA'), substring(umi, 7, 6)) else umi end) as qname,
+select event_id as ord, concat(ReadName, '_', cast(user_id % 20 as varchar(20)), '_', case when m = 7 then concat(substring(umi, 1, 5), translate(substring(umi, 6, 1), 'ACGT', 'CGTA'), substring(umi, 7, 6)) else umi end) as qname,
   cast(case when event_id % 17 = 0 then 256 when event_id % 19 = 0 then 2048 when event_id % 23 = 0 then 4 when event_id % 2 = 0 then 16 else 0 end as int) as flag,
   event_type as rname, cast((event_id % 997) % 7 * 10 + m as int) as s, cast(1000 + (event_id % 997) % 5 * 10 + m as int) as e, cast(event_id % 60 as int) as mapq
 from ({{reads}})"""
@@ -528,8 +529,8 @@ def read_summary(spark, sf_dir):
     return qc.summary(*reports(spark, sf_dir))
 
 
-@query(_SUM + f""", x as (select n_effective_valid - n_fragments + n_concat_parents + n_invalid as n, * from t), r as (select n, unnest([struct_pack(c := 'Total', k := n), struct_pack(c := 'Valid', k := n_effective_valid - n_fragments), struct_pack(c := 'Concatenated', k := n_concat_parents), struct_pack(c := 'Invalid', k := n_invalid), struct_pack(c := 'Effective Valid', k := n_effective_valid)]) as r from x)
-select r.c as category, r.k as count, {_pct("r.k", "n")} as percent from r""")
+@query(_SUM + f""", x as (select n_effective_valid - n_fragments + n_concat_parents + n_invalid as n, * from t), y as (select n, unnest([struct_pack(c := 'Total', k := n), struct_pack(c := 'Valid', k := n_effective_valid - n_fragments), struct_pack(c := 'Concatenated', k := n_concat_parents), struct_pack(c := 'Invalid', k := n_invalid), struct_pack(c := 'Effective Valid', k := n_effective_valid)]) as r from x)
+select y.r.c as category, y.r.k as count, {_pct("y.r.k", "n")} as percent from y""")
 def read_architecture(spark, sf_dir):
     return qc.read_architecture(qc.summary(*reports(spark, sf_dir)))
 

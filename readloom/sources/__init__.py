@@ -1 +1 @@
-
+"""Readers and writers of sequence, alignment, annotation and table files."""
