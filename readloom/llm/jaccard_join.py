@@ -196,13 +196,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among a vertex, its neighbours and its label's own label, and writes it.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = cut(both.groupBy(F.col("a").alias("rid")).agg(F.least(F.col("rid"), F.min("b")).alias("label")), "labels")
+    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges", few=True)
+    labels = cut(both.groupBy(F.col("a").alias("rid")).agg(F.least(F.col("rid"), F.min("b")).alias("label")), "labels", few=True)
     while True:
         near = both.join(labels, both.b == labels.rid).groupBy(F.col("a").alias("rid")).agg(F.min("label").alias("near"))
         step = labels.join(near, "rid").select("rid", F.least("label", "near").alias("new"), F.col("label").alias("old"))
         up = labels.select(F.col("rid").alias("new"), F.col("label").alias("up"))
-        labels = cut(step.join(up, "new", "left").select("rid", F.least("new", "up").alias("label"), "old"), "labels")
+        labels = cut(step.join(up, "new", "left").select("rid", F.least("new", "up").alias("label"), "old"), "labels", few=True)
         if not labels.where("label != old").limit(1).count():
             return labels.select("rid", "label")
 
@@ -235,11 +235,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Texts without words are in no class and all stay.
     """
     held = cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "documents")
-    rows = cut(_classes(held.select("doc_id", "text", "__uid"), ("__uid",)).where("__class is not null").select("__class", "doc_id", "__uid"), "rows")
+    rows = cut(_classes(held.select("doc_id", "text", "__uid"), ("__uid",)).where("__class is not null").select("__class", "doc_id", "__uid"), "rows", few=True)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__uid")).alias("first")
-    several = cut(rows.groupBy("__class").agg(first, F.count("*").alias("n")).where("n > 1").select("__class", F.col("first.__uid").alias("__first")), "first-rows")
+    several = cut(rows.groupBy("__class").agg(first, F.count("*").alias("n")).where("n > 1").select("__class", F.col("first.__uid").alias("__first")), "first-rows", few=True)
     gone = rows.join(several, "__class").where("__uid != __first").select("__uid")
-    return held.join(cut(gone, "gone"), "__uid", "left_anti").select(*docs.columns)
+    return held.join(cut(gone, "gone", few=True), "__uid", "left_anti").select(*docs.columns)
 
 
 def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -249,7 +249,7 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     sketch = cut(docs.mapInArrow(lambda batches: tb.tidy(_sketch(batches)), own + ", k1 long, k2 long, n long, sig array<int>"), "sketches")
     worded = sketch.where("n > 0")
     sets = worded.groupBy("k1", "k2", "n", "sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    sets = cut(sets.withColumn("rid", F.monotonically_increasing_id()), "sets")
+    sets = cut(sets.withColumn("rid", F.monotonically_increasing_id()), "sets", few=True)
 
     # buckets of the runs; those whose sets all met in an earlier run have nothing to add
     run = F.posexplode(F.transform(F.slice("sig", 1, RUNS), lambda v, k: F.xxhash64(k, v))).alias("run", "path")
@@ -259,18 +259,18 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     nodes = in_runs.groupBy("path", "run").agg(F.count("*").alias("size"), *stats).where("size > 1")
     for m in met:
         nodes = nodes.where(~m)
-    nodes = cut(nodes.select("path", F.expr("shiftleft(1L, run) - 1").alias("forbid"), "size"), "buckets")
+    nodes = cut(nodes.select("path", F.expr("shiftleft(1L, run) - 1").alias("forbid"), "size"), "buckets", few=True)
     level = in_runs.select("rid", "path").join(nodes, "path")
-    level = cut(level.join(sets.select("rid", "n", "copies", "sig"), "rid"), "members")
+    level = cut(level.join(sets.select("rid", "n", "copies", "sig"), "rid"), "members", few=True)
     leaves = []
     for depth in range(DEPTH + 1):
         leaves.append(level.where(F.col("size") <= LEAF) if depth < DEPTH else level)
         large = level.where(F.col("size") > LEAF)
         if depth == DEPTH or not large.limit(1).count():
             break
-        split = cut(_paths(large, depth), "split")
-        size = cut(split.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-        level = cut(split.join(size, "path"), "members")
+        split = cut(_paths(large, depth), "split", few=True)
+        size = cut(split.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "buckets", few=True)
+        level = cut(split.join(size, "path"), "members", few=True)
     columns = ["path", "forbid", "size", "rid", "n", "copies", "sig"]
     members = leaves[0].select(*columns)
     for more in leaves[1:]:
@@ -285,7 +285,7 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
     # shingles of the candidates, from a second scan that a filter of fixed size keeps small
     wanted = sets.select("rid", "k1", "k2").join(chosen.select("rid").distinct(), "rid")
-    wanted = cut(wanted, "wanted")
+    wanted = cut(wanted, "wanted", few=True)
     bits = _filter_bits(wanted)
     found = docs.select("text").mapInArrow(lambda batches: tb.tidy(_sets(bits, batches)), "k1 long, k2 long, shingles binary").dropDuplicates(["k1", "k2"])
     found = cut(wanted.join(found, ["k1", "k2"]).select("rid", "shingles"), "shingles")
@@ -294,9 +294,9 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     degree = links.groupBy("rid").agg(F.sum("texts").alias("texts"), F.sum("partners").alias("partners"))
     label = components(links.where("rid != root").select(F.col("rid").alias("a"), F.col("root").alias("b")))
     named = sets.select("k1", "k2", "rid", "rep", "copies").join(degree, "rid", "left").join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-    named = cut(named, "named")
-    least = cut(named.groupBy("label").agg(F.min("rep").alias("least")), "least")
-    named = cut(named.join(least, "label").select(F.col("label").alias("__class"), "k1", "k2", F.coalesce("least", -1 - F.col("label")).alias("class_id"), (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_texts"), F.col("copies").alias("n_copies")), "classes")
+    named = cut(named, "named", few=True)
+    least = cut(named.groupBy("label").agg(F.min("rep").alias("least")), "least", few=True)
+    named = cut(named.join(least, "label").select(F.col("label").alias("__class"), "k1", "k2", F.coalesce("least", -1 - F.col("label")).alias("class_id"), (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_texts"), F.col("copies").alias("n_copies")), "classes", few=True)
     out = worded.select(*keep, "doc_id", "k1", "k2").join(named, ["k1", "k2"]).drop("k1", "k2")
     none = sketch.where("n = 0").select(*keep, "doc_id", F.lit(None).cast("long").alias("__class"), F.coalesce("doc_id", F.lit(-1)).alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_texts"), F.lit(1).cast("long").alias("n_copies"))
     return out.unionByName(none)

@@ -85,7 +85,7 @@ def _judged(scanned: DataFrame) -> DataFrame:
     """
     one = scanned.where(F.size("__spans") > 0).select("__uid", "__repo", "__owner", F.explode("__spans").alias("s")).select("__uid", "__repo", "__owner", "s.*")
     owned = one.select("hash", "__owner", "__repo").distinct().groupBy("hash", "__owner").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repos"))
-    copied = cut(owned.where((F.col("owners") > OWNERS) | (F.col("repos") > REPOSITORIES)), "secret-owners")
+    copied = cut(owned.where((F.col("owners") > OWNERS) | (F.col("repos") > REPOSITORIES)), "secret-owners", few=True)
     seen = one.join(copied, "hash", "left").withColumn("copied", F.col("owners").isNotNull())
     kept = seen.where((F.col("rank") != len(KINDS) - 1) | ~F.col("copied"))
     return kept.groupBy("__uid").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "stop", "copied"))).alias("__all"))

@@ -162,7 +162,7 @@ def topk(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     rows = cut(whole_numbers(vectors).withColumn("uid", F.monotonically_increasing_id()), "vectors")
     blocks = cut(rows.repartitionByRange("vec_id", "uid").sortWithinPartitions("vec_id", "uid").mapInArrow(lambda batches: tb.tidy(_blocks(batches)), _BLOCK_SCHEMA), "blocks")
     tasks = max(1, min(blocks.count(), 4 * spark.sparkContext.defaultParallelism))
-    queries = cut(rows.where(F.col("vec_id") % every == 0), "queries")
+    queries = cut(rows.where(F.col("vec_id") % every == 0), "queries", few=True)
     groups = -(-queries.count() // GROUP)
     schema, out = "uid long, query_id long, vec_id long, score long", spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     for g in range(groups):
