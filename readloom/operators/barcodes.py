@@ -37,8 +37,8 @@ def correct(observed: DataFrame, whitelist: DataFrame, threshold: int = 2, limit
     then of its reverse complement, comma-joined in order of place; a barcode near to both is named twice, unless
     `distinct`. None: NMF, threshold + 1, 0. A missing sequence: NMF, -1, 0.
     """
-    white = cut(whitelist.where(usable("barcode").isNotNull()).groupBy("barcode").agg(F.min("place").alias("place")), "whitelist")
-    seqs = cut(observed.select(F.col("seq").cast("string").alias("seq")).distinct(), "observed")
+    white = cut(whitelist.where(usable("barcode").isNotNull()).groupBy("barcode").agg(F.min("place").alias("place")), "whitelist", few=True)
+    seqs = cut(observed.select(F.col("seq").cast("string").alias("seq")).distinct(), "observed", few=True)
     known = F.coalesce(~F.col("seq").isin("", "nan", "None", "NaN"), F.lit(False))
     there = white.select("barcode")
     found = seqs.where(known).withColumn("rc", reverse_complement("seq"))
@@ -62,7 +62,7 @@ def correct(observed: DataFrame, whitelist: DataFrame, threshold: int = 2, limit
         F.coalesce("candidates", none).alias("candidates"),
     )
     missing = seqs.where(~known).select("seq", F.lit(NO_MATCH).alias("corrected"), F.lit(-1).alias("min_dist"), F.lit(0).alias("n_min"), none.alias("candidates"))
-    return cut(out.unionByName(missing), "corrected")
+    return cut(out.unionByName(missing), "corrected", few=True)
 
 
 def whitelist_barcodes(whitelist: DataFrame, column: str) -> DataFrame:

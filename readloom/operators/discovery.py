@@ -93,7 +93,7 @@ def merge_near(barcodes: DataFrame, columns: list[str], distance: int = 1) -> Da
     pairs = near_pairs(barcodes, columns, distance).select("a", "b")
     order = base.select("a", F.struct((-F.col("read_count")).alias("c"), F.col("a").alias("name")).alias("o"))
     larger = pairs.join(order.withColumnRenamed("o", "oa"), "a").join(order.select(F.col("a").alias("b"), F.col("o").alias("ob")), "b").where("ob < oa").select("a", "b", "ob")
-    larger = cut(larger, "merge-pairs")
+    larger = cut(larger, "merge-pairs", few=True)
     state = base.select("a").withColumn("state", F.lit(None).cast("string")).withColumn("to", F.lit(None).cast("array<string>"))
     while True:
         open_ = state.where("state is null")
@@ -107,7 +107,7 @@ def merge_near(barcodes: DataFrame, columns: list[str], distance: int = 1) -> Da
         merged = F.col("into").isNotNull() & (F.col("first_open").isNull() | (F.col("into.ob") < F.col("first_open")))
         verdict = verdict.select("a", F.when(merged, "merged").when(F.col("into").isNull() & (F.col("unsettled") == 0), "canonical").alias("s2"), F.when(merged, F.col("into.to")).alias("t2"))
         state = state.join(verdict, "a", "left").select("a", F.coalesce("state", "s2").alias("state"), F.coalesce("to", "t2").alias("to"))
-        state = cut(state, "merge-state")
+        state = cut(state, "merge-state", few=True)
         if not state.where("state is null").limit(1).count():
             break
     out = base.join(state, "a").select(*columns, "read_count", F.coalesce("to", "a").alias("canonical"))

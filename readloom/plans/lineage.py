@@ -23,9 +23,13 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _OWN["dir"]
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends here, and a lost executor costs no recomputation."""
+def cut(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: lineage ends here, and a lost executor costs no recomputation.
+
+    few: a table much smaller than the input; it becomes twice as many files as the cluster has cores at most.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/readloom/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    rows = df.coalesce(2 * spark.sparkContext.defaultParallelism) if few else df
+    rows.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
