@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import sequences as sq
 from .operators import alignments as al
-from .operators import assess, barcodes, binning, discovery, qc, structure
+from .operators import assess, barcodes, binning, discovery, qc, simulate, structure
 from .plans.lineage import cut
 
 SEGMENTS = structure.Segments(
@@ -578,11 +578,70 @@ def read_length_distribution(spark, sf_dir):
     return qc.length_distribution(*reports(spark, sf_dir))
 
 
-@query()
+@query(
+    _SPLIT.replace("cast(length(cdna) as bigint) as ins from a", "cast(length(cdna) as bigint) as ins, length(cbc) as bc, length(tail) as tl, case when kind = 4 then 10 end as fl from a").replace(
+        "cast(length(read) as bigint), cast(length(cdna) as bigint) from a", "cast(length(read) as bigint), cast(length(cdna) as bigint), length(cbc), length(tail), null from a"
+    )
+    + ", w as (select '5p' as segment, 22 as d from v union all select 'CBC', bc from v union all select 'UMI', 12 from v union all select 'polyT', nullif(tl, 0) from v union all select 'cDNA', ins from v union all select '3p', 30 from v union all select 'random_s', fl from v) "
+    + _box("select * from w", "segment", "d")
+)
 def segment_lengths(spark, sf_dir):
     return qc.segment_lengths(reports(spark, sf_dir)[0])
 
 
+@query(f"""with t as (select count(*) filter (not is_dup) as u, count(*) filter (is_dup) as d from ({_LEAD})) select 'unique' as category, u as count, {_pct("u", "(u + d)")} as percent from t union all select 'duplicate', d, {_pct("d", "(u + d)")} from t""")
+def duplication_stats(spark, sf_dir):
+    return qc.duplication_stats(al.duplicate_totals(al.mark_duplicates(alignments(spark, sf_dir))))
+
+
+@query(f"""with a as (select *, regexp_extract(qname, '^(.*)_([^_]*)_([^_]*)$', 2) as cb, regexp_extract(qname, '^(.*)_([^_]*)_([^_]*)$', 3) as u from ({ORACLE_ALN}) where flag & 2308 = 0)
+select ord, row_number() over (partition by rname, cb, flag & 16, s // 10, e // 10, u order by s, ord) > 1 as is_dup from a""")
+def exact_duplicates(spark, sf_dir):
+    return al.umi_decisions(alignments(spark, sf_dir), threshold=0).select("ord", "is_dup")
+
+
+@query(f"""with r as (select read_count, row_number() over (order by read_count desc, "CBC") as rank from ({_COUNTS})), k as ({_KNEE}) select rank, read_count, rank <= n_knee as above_knee from r, k""")
+def barcode_discovery(spark, sf_dir):
+    c = counts(spark, sf_dir)
+    return qc.barcode_discovery(discovery.ranked(c).withColumn("rank", F.col("rank").cast("long")), discovery.knee(c, 3, 0.5))
+
+
+@query(f"""with c as ({_CORRECT}), w as ({ORACLE_WHITE}), u as (select distinct seq, unnest(string_split(corrected, ',')) as b from c), n as (select seq, count(*) as n, min(place) as place from u join w on w.barcode = u.b group by seq)
+select c.seq, coalesce(cast(case when n = 1 then place end as varchar), 'ambiguous') as cell_id from c left join n on n.seq = c.seq""")
+def cells_by_candidates(spark, sf_dir):
+    fixed = corrections(spark, sf_dir).select("seq", F.col("corrected").alias("corrected_CBC"))
+    return barcodes.cells_unique(fixed, whitelist(spark, sf_dir)).select("seq", "cell_id")
+
+
+@query(f"""with r as (select 'CBC' as segment, levenshtein(cbc, cbc0) as d from ({ORACLE_READS})) select segment, count(*) as n, cast(min(d) as int) as min, quantile_cont(d, 0.25) as q1, quantile_cont(d, 0.5) as median, quantile_cont(d, 0.75) as q3, cast(max(d) as int) as max from r group by 1""")
+def edit_summary(spark, sf_dir):
+    r = reads(spark, sf_dir).select("ReadName", F.levenshtein("cbc", "cbc0").alias("distance"), F.lit("CBC").alias("segment"))
+    return assess.distance_summary(r)
+
+
+@query("select event_id, list_aggregate(list_transform(range(0, least(event_id % 7, 5)), lambda k: ['3p', '5p', 'cDNA'][(event_id + k) % 3 + 1]), 'string_agg', ',') as labels from events")
+def label_decode(spark, sf_dir):
+    ids = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: ((F.col("event_id") + k) % 3).cast("int"))
+    rows = table(spark, sf_dir, "events").select("event_id", structure.decode(ids, ["cDNA", "5p", "3p"], F.least(F.col("event_id") % 7, F.lit(5))).alias("l"))
+    return rows.select("event_id", F.when(F.size("l") > 0, F.array_join("l", ",")).alias("labels"))
+
+
+@query(f"""select event_id, {RC.format("cbc")} as rc, least(cbc, {RC.format("cbc")}) as canonical, cast(length(list_filter(range(1, least(length(cbc), 16) + 1), lambda i: substring(cbc, i, 1) <> substring(cbc0, i, 1))) + abs(16 - length(cbc)) as int) as hamming from ({ORACLE_READS})""")
+def sequence_expressions(spark, sf_dir):
+    return reads(spark, sf_dir).select("event_id", sq.reverse_complement("cbc").alias("rc"), sq.canonical("cbc").alias("canonical"), sq.hamming("cbc", "cbc0").alias("hamming"))
+
+
+@query()
+def simulated_reads(spark, sf_dir):
+    """Reads of a built-in layout with noise, annotated from their labels: rows by structure and verdict."""
+    names, patterns = ["5p", "CBC", "UMI", "polyT", "cDNA", "3p"], ["CTACACGACGCTCTTCCGATCT", "N16", "N12", "T", "NN", "CCCATGTACTCTGCGTTGATACCACTGCTT"]
+    plans = [simulate.Structure("single", tuple(names), tuple(patterns), 0.7), simulate.Structure("two", tuple(names), tuple(patterns), 0.3, 2, ("fwd", "rev"))]
+    sims = simulate.simulate(spark, plans, 2000, seed=1)
+    s = structure.Segments.of(names, [names, [n for n in names if n != "polyT"]], ["CBC"])
+    done = structure.annotate(sims.withColumn("labels", structure.as_codes(F.col("labels"), s)), s)
+    return done.groupBy("structure_type", "architecture").agg(F.count("*").alias("n"))
+
+
 # ---- assessment
 
 _PAIRS = "select event_id as id, concat(repeat('5', 4), repeat('C', cast(event_id % 5 as int)), repeat('D', 6)) as truth, concat(repeat('5', cast(3 + event_id % 3 as int)), repeat('C', cast(event_id % 4 as int)), repeat('D', 12)) as pred from {events}"
