@@ -22,7 +22,7 @@ from .store import cut
 
 WINDOW, END = 4096, 2
 #: Words kept with their ids in a Python worker (some 40 bytes each).
-CACHED = 1_000_000
+CACHED = 2_000_000
 #: ASCII marks that the tokenizer cuts off behind an ASCII letter or digit. Not ', which begins endings of its own, nor < | >, which special tokens have.
 _TRAIL = tb.byte_table(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")
 _ALNUM = tb.byte_table(bytes([*range(48, 58), *range(65, 91), *range(97, 123)]))
