@@ -177,3 +177,15 @@ def test_query_equals_sql(spark, name):
     got = sorted((tuple(_plain(r[c]) for c in columns) for r in df.collect()), key=repr)
     at = [want.columns.index(c) for c in columns]
     assert got == sorted((tuple(_plain(r[k]) for k in at) for r in want.fetchall()), key=repr) and got
+
+
+def test_gene_body_coverage_of_whole_tables(spark):
+    """Genes beyond the first 200 count: sf0.01 has 2 000 parts."""
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for name in ("part", "lineitem"):
+        con.sql(f"create view {name} as select * from '{d}/{name}.parquet'")
+    got = sorted((r.percentile, r.coverage) for r in queries.QUERIES["gene_body_coverage_all"](spark, d).collect())
+    assert got == sorted(con.sql(queries.ORACLES["gene_body_coverage_all"]).fetchall())
+    first = con.sql(queries.ORACLES["gene_body_coverage"]).fetchall()
+    assert sum(n for _, n in got) > 5 * sum(n for _, n in first)
