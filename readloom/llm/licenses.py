@@ -1,7 +1,7 @@
 """License scans: fixed phrases by words, and ordered signature rules behind a keyword prefilter.
 
 Rules come from a table of licenses and a few sentence frames, some hundreds of patterns. A rule runs only on texts
-that hold one of the general keywords and its own keyword. A detection that lies inside another is dropped; of two with the
+that hold one of the general keywords and, once every run of separators is one space, its own keyword; its pattern implies both. A detection that lies inside another is dropped; of two with the
 same interval the earlier rule's stays.
 """
 
@@ -22,6 +22,9 @@ from . import textbatch as tb
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 #: What a text must hold for any rule to run.
 KEYWORDS = ("licen", "spdx", "copyright", "public domain", "creative commons", "creativecommons", "cc0", "cc by", "cc-by", "permission is hereby", "redistribution", "all rights reserved", "warrant", "copyleft", "gpl")
+#: Single words of which every pattern without one of the keywords above in one piece needs one, whatever stands between its words.
+WORDS = ("domain", "commons", "permission", "redistribut", "reserved", "attribution", "bsd", "nasa", "mozilla")
+CC_MARK = re.compile(r"cc[\W_]++(?:by|zero)")
 
 #: Label, SPDX identifier, how the name is written (spaces stand for any run of other characters), own keyword.
 LICENSES = """
@@ -52,7 +55,7 @@ mit|x11|x11 licen[cs]e|x11
 expat|expat|expat licen[cs]e|expat
 bsd-4-clause|bsd-4-clause|(?:4 clause|original) bsd licen[cs]e|bsd
 bsd-3-clause|bsd-3-clause|(?:3 clause|new|revised|modified) bsd licen[cs]e|bsd
-bsd-2-clause|bsd-2-clause|(?:2 clause|simplified|freebsd) (?:bsd )?licen[cs]e|bsd
+bsd-2-clause|bsd-2-clause|(?:2 clause|simplified|freebsd) (?:bsd )?licen[cs]e|licen
 bsd-3-clause|bsd-3-clause-clear|clear bsd licen[cs]e|bsd
 0bsd|0bsd|zero clause bsd(?: licen[cs]e)?|bsd
 bsd|bsd|bsd(?: style)? licen[cs]e|bsd
@@ -89,7 +92,7 @@ osl-3.0|osl-3.0|open software licen[cs]e|open software
 afl-3.0|afl-3.0|academic free licen[cs]e|academic free
 ecl-2.0|ecl-2.0|educational community licen[cs]e|educational community
 ofl-1.1|ofl-1.1|sil open font licen[cs]e|open font
-wtfpl|wtfpl|do what the fuck you want to public licen[cs]e|wtfpl
+wtfpl|wtfpl|do what the fuck you want to public licen[cs]e|fuck
 unlicense|unlicense|the unlicense|unlicense
 odbl-1.0|odbl-1.0|open (?:data commons open )?database licen[cs]e|database
 odc-by-1.0|odc-by-1.0|open data commons attribution licen[cs]e|open data
@@ -155,6 +158,9 @@ def rules() -> list[tuple[str, str, re.Pattern, str, float]]:
     return out
 
 
+_SEPARATORS = re.compile(r"[\W_]+")
+
+
 def _cc(found: re.Match) -> str:
     kind, major, minor = found.groups()
     if kind == "zero":
@@ -172,11 +178,11 @@ _CC = ((_pattern(CC_LINK), _cc, 0.95), (_pattern(CC), _cc, 0.9), (_pattern(CC_WO
 
 def detect(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, label, how sure) of the detections that stay, in a text with A-Z lower-cased."""
-    if not any(k in text for k in KEYWORDS):
+    if not any(k in text for k in (*KEYWORDS, *WORDS)) and not CC_MARK.search(text):
         return []
-    found = []
+    found, flat = [], _SEPARATORS.sub(" ", text)
     for rank, (_, label, pattern, keyword, sure) in enumerate(rules()):
-        if keyword in text:
+        if keyword in flat:
             found += [(m.end() - m.start(), rank, m.start(), m.end(), label, sure) for m in pattern.finditer(text)]
     if "cc" in text or "creative" in text:
         for pattern, name, sure in _CC:
@@ -210,11 +216,10 @@ def _scan_slice(buf: np.ndarray, offs: np.ndarray) -> dict[str, list]:
             last[d] = max(last[d], w)
             labels[d].add(label)
     low = tb.LOWER[buf].tobytes()
-    keys = [k.encode() for k in KEYWORDS]
     every, score, spans = [], np.zeros(n), []
     for d in range(n):
         part = low[offs[d] : offs[d + 1]]
-        got = detect(part.decode()) if any(k in part for k in keys) else []
+        got = detect(part.decode())
         every.append(",".join(sorted(labels[d] | {x[2] for x in got})))
         score[d] = max([0.5 * bool(labels[d]), *(x[3] for x in got)])
         spans.append(",".join(f"{x[2]}:{x[0]}:{x[1]}" for x in got))

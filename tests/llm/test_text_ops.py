@@ -189,6 +189,26 @@ def test_license_rules(text, label):
     assert len(licenses.rules()) > 200
 
 
+def plain(pattern):
+    """A text that a pattern of the tables matches: first alternatives, optional parts left out, as words."""
+    pattern = re.sub(r"\(\?:[^()]*\)\?", "", re.sub(r"\(\?:[^()]*\)\?", "", pattern.replace("\\S{1,12}", "x").replace("[cs]", "s").replace("\0", "|")))
+    return re.sub(r"\(\?:([^()|]*)[^()]*\)", r"\1", pattern).replace(" ?", "").replace(",?", "").replace("\\", "")
+
+
+@pytest.mark.parametrize("between", [" ", "\n", "\n * ", "-", "_"])
+def test_license_gates_follow_from_the_patterns(between):
+    for frame, label, pattern, keyword, _ in licenses.rules():
+        if frame not in ("mention", "text"):
+            continue
+        name = plain(pattern.pattern.removeprefix(r"(?<![^\W_])").removesuffix(r"(?![^\W_])").replace(r"(?:[\W_]{1,20})?", "").replace(r"[\W_]{1,20}", " ").replace(r"(?:[\W_]++)?", "").replace(r"[\W_]++", " "))
+        text = name.replace(" ", between)
+        assert pattern.search(text), (label, text)
+        assert keyword in re.sub(r"[\W_]+", " ", text), (label, text, keyword)
+        assert licenses.detect(text), (label, text, keyword)
+    for text, label in (("CC\nBY 4.0", "cc-by-4.0"), ("CC_Zero", "cc0-1.0"), ("Creative\nCommons Attribution", "cc-by"), ("GNU Lesser General\nPublic License version 2.1", "lgpl-2.1"), ("Server-Side Public License", "sspl-1.0"), ("Zero-Clause BSD", "0bsd")):
+        assert label in {x[2] for x in licenses.detect(text.lower())}
+
+
 def test_packing_places_every_id_once(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
