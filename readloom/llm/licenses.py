@@ -33,12 +33,17 @@ agpl-3.0|agpl-3.0-only|affero gpl|affero
 agpl-3.0|agpl-3.0-or-later|agplv3|agpl
 lgpl-2.1|lgpl-2.1|gnu (?:lesser|library) general public licen[cs]e(?: \\S{1,12})? (?:version |v ?)2(?: 1)?|general public
 lgpl-3.0|lgpl-3.0|gnu lesser general public licen[cs]e(?: \\S{1,12})? (?:version |v ?)3|lesser
+lgpl-2.1|lgpl-2.1|gnu (?:lesser|library) general public licen[cs]e as published by the free software foundation(?: either)? (?:version |v ?)2(?: 1)?|general public
+lgpl-3.0|lgpl-3.0|gnu lesser general public licen[cs]e as published by the free software foundation(?: either)? (?:version |v ?)3|lesser
 lgpl|lgpl|gnu (?:lesser|library) general public licen[cs]e|general public
 lgpl-2.1|lgpl-2.1-or-later|lgplv2|lgpl
 lgpl-3.0|lgpl-3.0-or-later|lgplv3|lgpl
 gpl-2.0|gpl-2.0|gnu general public licen[cs]e(?: \\S{1,12})?,? (?:version |v ?)2|general public
 gpl-3.0|gpl-3.0|gnu general public licen[cs]e(?: \\S{1,12})?,? (?:version |v ?)3|general public
 gpl-1.0|gpl-1.0|gnu general public licen[cs]e(?: \\S{1,12})?,? (?:version |v ?)1|general public
+gpl-2.0|gpl-2.0|gnu general public licen[cs]e as published by the free software foundation(?: either)? (?:version |v ?)2|general public
+gpl-3.0|gpl-3.0|gnu general public licen[cs]e as published by the free software foundation(?: either)? (?:version |v ?)3|general public
+gpl-1.0|gpl-1.0|gnu general public licen[cs]e as published by the free software foundation(?: either)? (?:version |v ?)1|general public
 gpl|gpl|gnu general public licen[cs]e|general public
 gpl-2.0|gpl-2.0-only|gplv2|gpl
 gpl-3.0|gpl-3.0-only|gplv3|gpl
@@ -139,8 +144,8 @@ _PHRASE = [([tb.word_hash(w) for w in p.split()], label) for p, label in PHRASES
 
 
 def _pattern(text: str) -> re.Pattern:
-    """Spaces become any run of characters other than letters and digits (at most 20)."""
-    return re.compile(r"(?<![^\W_])" + text.replace(",?", "").replace(" ?", r"(?:[\W_]{1,20})?").replace(" ", r"[\W_]{1,20}") + r"(?![^\W_])")
+    """Spaces become any run of characters other than letters and digits, taken whole: no run is tried at its parts."""
+    return re.compile(r"(?<![^\W_])" + text.replace(",?", "").replace(" ?", r"(?:[\W_]++)?").replace(" ", r"[\W_]++") + r"(?![^\W_])")
 
 
 @cache
@@ -176,6 +181,53 @@ def _cc_words(found: re.Match) -> str:
 _CC = ((_pattern(CC_LINK), _cc, 0.95), (_pattern(CC), _cc, 0.9), (_pattern(CC_WORDS), _cc_words, 0.85))
 
 
+#: An SPDX tag, and what an expression after it is made of; within parentheses it may go on over lines and their comment marks.
+_TAG = re.compile(r"(?<![^\W_])spdx[\W_]++license[\W_]++identifier[^\w(]*+")
+_TOKEN = re.compile(r"[()]|[a-z0-9](?:[a-z0-9.:-]*[a-z0-9])?\+?")
+_BLANK, _LINES = re.compile(r"[ \t]*+"), re.compile(r"[\s*#/;!-]*+")
+
+
+@cache
+def identifiers() -> dict[str, str]:
+    """Label of each SPDX identifier of the table; the earliest row's."""
+    out: dict[str, str] = {}
+    for frame, label, pattern, _, _ in rules():
+        if frame == "identifier":
+            out.setdefault(re.sub(r"\\(.)", r"\1", _SPDX_ID.search(pattern.pattern)[1]), label)
+    return out
+
+
+_SPDX_ID = re.compile(r"identifier\[\\W_\]\+\+(.*?)\(\?!")
+
+
+def _known(spdx: str) -> str | None:
+    plain = spdx.removesuffix("+")
+    return identifiers().get(plain) or identifiers().get(re.sub(r"-(?:only|or-later)$", "", plain))
+
+
+def _expressions(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, label) of the known licenses of all SPDX expressions; that of the first starts at its tag."""
+    out = []
+    for tag in _TAG.finditer(text):
+        at, depth, start, joined = tag.end(), 0, tag.start(), True
+        while token := _TOKEN.match(text, (_LINES if depth else _BLANK).match(text, at).end()):
+            word, at = token[0], token.end()
+            if word == "(" and joined:
+                depth += 1
+            elif word == ")" and depth and not joined:
+                depth -= 1
+            elif joined and word not in ("(", ")"):
+                label = _known(word) if joined != "with" else None
+                if label:
+                    out.append((token.start() if start is None else start, at, label))
+                start, joined = None, False
+            elif not joined and word in ("and", "or", "with"):
+                joined = word
+            else:
+                break
+    return out
+
+
 def detect(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, label, how sure) of the detections that stay, in a text with A-Z lower-cased."""
     if not any(k in text for k in (*KEYWORDS, *WORDS)) and not CC_MARK.search(text):
@@ -184,6 +236,8 @@ def detect(text: str) -> list[tuple[int, int, str, float]]:
     for rank, (_, label, pattern, keyword, sure) in enumerate(rules()):
         if keyword in flat:
             found += [(m.end() - m.start(), rank, m.start(), m.end(), label, sure) for m in pattern.finditer(text)]
+    if "spdx" in text:
+        found += [(end - start, -2, start, end, label, 1.0) for start, end, label in _expressions(text)]
     if "cc" in text or "creative" in text:
         for pattern, name, sure in _CC:
             found += [(m.end() - m.start(), -1, m.start(), m.end(), name(m), sure) for m in pattern.finditer(text)]

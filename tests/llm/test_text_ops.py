@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import unicodedata
 import zlib
 
@@ -189,6 +190,25 @@ def test_license_rules(text, label):
     assert len(licenses.rules()) > 200
 
 
+@pytest.mark.parametrize(("text", "labels"), [
+    ("GNU GENERAL PUBLIC LICENSE\n" + " " * 23 + "Version 2, June 1991", ["gpl-2.0"]), ("GNU LESSER GENERAL PUBLIC LICENSE\n" + " " * 25 + "Version 2.1, February 1999", ["lgpl-2.1"]),
+    ("Apache License\n" + " " * 27 + "Version 2.0, January 2004", ["apache-2.0"]), ("the GNU General Public License as published by the Free Software Foundation; either version 2 of the License", ["gpl-2.0"]),
+    ("the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 3 of", ["lgpl-3.0"]), ("GNU General Public License as published by\n# the Free Software Foundation, version 3.", ["gpl-3.0"]),
+    ("SPDX-License-Identifier: GPL-2.0+", ["gpl-2.0"]), ("// SPDX-License-Identifier: MIT OR Apache-2.0", ["mit", "apache-2.0"]), ("SPDX-License-Identifier: (MIT OR\n * BSD-3-Clause) AND LGPL-2.1-only.", ["mit", "bsd-3-clause", "lgpl-2.1"]),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR ISC\nMIT", ["gpl-2.0", "isc"]),
+    ("SPDX-License-Identifier: MIT\nor Apache-2.0", ["mit"]),
+])
+def test_license_headers_notices_and_expressions(text, labels):
+    assert [x[2] for x in licenses.detect(text.lower())] == labels
+
+
+def test_license_patterns_are_linear_in_separators():
+    text = ("licensed " + "-" * 200_000 + " gnu " + "-" * 200_000 + " spdx license identifier " + " " * 200_000).lower()
+    start = time.process_time()
+    assert licenses.detect(text) == []
+    assert time.process_time() - start < 20
+
+
 def plain(pattern):
     """A text that a pattern of the tables matches: first alternatives, optional parts left out, as words."""
     pattern = re.sub(r"\(\?:[^()]*\)\?", "", re.sub(r"\(\?:[^()]*\)\?", "", pattern.replace("\\S{1,12}", "x").replace("[cs]", "s").replace("\0", "|")))
