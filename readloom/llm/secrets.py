@@ -3,9 +3,9 @@
 Matches and their places come from one regular expression a kind: the texts between the matches (`split`) and the
 matches (`regexp_extract_all`) alternate, so their lengths add up to every start and end, in code points.
 
-Ownership: a value is hashed and its hash counted by distinct repositories (documents) and owners (sources). A
-value of many owners is a copied example; one that only a few have looks live. Long mixed tokens of no known kind
-are spans only if they look live.
+Ownership: a value is hashed and its hash counted by distinct owners (sources). A value of many owners is a copied
+example; one that only a few have looks live, in however many documents of theirs it stands. Long mixed tokens of no
+known kind are spans only if they look live; copied ones are listed apart, as examples.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ GENERIC = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,400}[0-9])(?=[0-9+/_-]{0,400}[
 KINDS = [*BASE_KINDS, *MORE_KINDS, "generic"]
 #: What `assign` needs in group 2, and a generic token in distinct characters.
 ASSIGNED, DISTINCT = 6, 10
-#: A value of more owners, or of more repositories, is a copied example.
-OWNERS, REPOSITORIES = 2, 5
+#: A value of more owners is a copied example.
+OWNERS = 2
 MASK = "[SECRET]"
 
 _SPAN = "struct<start:bigint,rank:int,stop:bigint,hash:bigint>"
@@ -68,27 +68,28 @@ def _spans(text: Column, kind: str, pattern: str, group: int) -> Column:
 
 
 def _scan(docs: DataFrame, keep: list[str], owner: str) -> DataFrame:
-    """`keep`, __uid, __repo, __owner and __spans (all but generic ones that overlap others), written to the shared folder."""
+    """`keep`, __uid, __owner and __spans (all but generic ones that overlap others), written to the shared folder."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(*keep, F.monotonically_increasing_id().alias("__uid"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__repo"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("__owner"), text.alias("__t"))
+    rows = docs.select(*keep, F.monotonically_increasing_id().alias("__uid"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("__owner"), text.alias("__t"))
     known = F.concat(*(_spans(F.col("__t"), k, p, g) for k, (p, g) in {**BASE_KINDS, **MORE_KINDS}.items()))
     rows = rows.withColumn("__known", known).withColumn("__generic", _spans(F.col("__t"), "generic", GENERIC, 0))
     apart = F.filter("__generic", lambda g: ~F.exists("__known", lambda k: (k["start"] < g["stop"]) & (g["start"] < k["stop"])))
-    return cut(rows.select(*keep, "__uid", "__repo", "__owner", F.concat("__known", apart).alias("__spans")), "secret-spans")
+    return cut(rows.select(*keep, "__uid", "__owner", F.concat("__known", apart).alias("__spans")), "secret-spans")
 
 
 def _judged(scanned: DataFrame) -> DataFrame:
-    """__uid and __all, the spans of a row in order with `copied`; only rows with spans.
+    """__uid, __all, the spans of a row in order with `copied`, and __examples, its copied generic ones; only rows with spans.
 
-    Values in one repository alone, nearly all, are no rows of the ownership table; a value that a third of the rows
+    Values of few owners, nearly all, are no rows of the ownership table; a value that a third of the rows
     hold is counted in parts first, and the join's large partition is split by adaptive execution.
     """
-    one = scanned.where(F.size("__spans") > 0).select("__uid", "__repo", "__owner", F.explode("__spans").alias("s")).select("__uid", "__repo", "__owner", "s.*")
-    owned = one.select("hash", "__owner", "__repo").distinct().groupBy("hash", "__owner").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repos"))
-    copied = cut(owned.where((F.col("owners") > OWNERS) | (F.col("repos") > REPOSITORIES)), "secret-owners", few=True)
+    one = scanned.where(F.size("__spans") > 0).select("__uid", "__owner", F.explode("__spans").alias("s")).select("__uid", "__owner", "s.*")
+    owned = one.select("hash", "__owner").distinct().groupBy("hash").agg(F.count("*").alias("owners"))
+    copied = cut(owned.where(F.col("owners") > OWNERS), "secret-owners", few=True)
     seen = one.join(copied, "hash", "left").withColumn("copied", F.col("owners").isNotNull())
-    kept = seen.where((F.col("rank") != len(KINDS) - 1) | ~F.col("copied"))
-    return kept.groupBy("__uid").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "stop", "copied"))).alias("__all"))
+    rows = seen.groupBy("__uid").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "stop", "copied"))).alias("__every"))
+    example = lambda s: (s["rank"] == len(KINDS) - 1) & s["copied"]
+    return rows.select("__uid", F.filter("__every", lambda s: ~example(s)).alias("__all"), F.filter("__every", example).alias("__examples"))
 
 
 def _joined(spans: Column) -> Column:
@@ -97,18 +98,21 @@ def _joined(spans: Column) -> Column:
 
 
 def secrets(docs: DataFrame, owner: str = "source") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, one row for each row of docs.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, examples, one row for each row of docs.
+
+    examples lists the copied generic tokens, as spans does the rest; n_copied counts both kinds of copies.
 
     A null or empty text has no spans (base_sha256 is that of the empty string). A null owner or id counts as the empty
-    one. Repeated rows are scanned each for itself, and are one repository. An empty table gives an empty one;
+    one. Repeated rows are scanned each for itself. An empty table gives an empty one;
     columns other than doc_id, text and the owner have no part.
     """
     scanned = _scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", owner), ["doc_id"], owner)
     out = scanned.select("doc_id", "__uid", (F.size("__spans") > 0).alias("__some"))
     judged = _judged(scanned)
     some = out.where("__some").join(judged, "__uid", "left")
-    none = out.where("not __some").withColumn("__all", F.lit(None).cast(judged.schema["__all"].dataType))
-    rows = some.select("doc_id", "__all").unionByName(none.select("doc_id", "__all")).withColumn("__all", F.coalesce("__all", F.array().cast(judged.schema["__all"].dataType)))
+    empty = F.array().cast(judged.schema["__all"].dataType)
+    none = out.where("not __some").select("doc_id", empty.alias("__all"), empty.alias("__examples"))
+    rows = some.select("doc_id", *(F.coalesce(c, empty).alias(c) for c in ("__all", "__examples"))).unionByName(none)
     base = F.filter("__all", lambda s: s["rank"] < len(BASE_KINDS))
     number = lambda test: F.size(F.filter("__all", test)).cast("long")
     of_kind = lambda k: lambda s: s["rank"] == k
@@ -118,7 +122,8 @@ def secrets(docs: DataFrame, owner: str = "source") -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("__all")).alias("spans"),
         number(lambda s: ~s["copied"]).alias("n_live"),
-        number(lambda s: s["copied"]).alias("n_copied"),
+        (number(lambda s: s["copied"]) + F.size("__examples")).alias("n_copied"),
+        _joined(F.col("__examples")).alias("examples"),
     )
 
 

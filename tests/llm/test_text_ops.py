@@ -156,6 +156,17 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert got[0].spans == "" and "generic" in got[9].spans and got[9].n_live == 1
 
 
+def test_many_documents_of_one_owner_are_no_copies(spark):
+    shared, own = "Zx81kQ+9dd/3PqLmN0aB7w", "Rw55tY+1aa/8VbHjK2cD4e"
+    rows = [(k, f"see {shared} here", f"src{k}", 0) for k in range(6)] + [(10 + k, f"and {own} there", "src9", 0) for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    got = {r.doc_id: r for r in secrets.secrets(docs).collect()}
+    assert all(got[10 + k].spans == "generic:4:26" and got[10 + k].n_live == 1 and got[10 + k].examples == "" for k in range(9))
+    assert all((got[k].spans, got[k].examples, got[k].n_copied, got[k].n_live) == ("", "generic:4:26", 1, 0) for k in range(6))
+    text = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert all(text[10 + k] == "and [SECRET] there" for k in range(9)) and shared in text[0]
+
+
 def test_redaction_leaves_no_base_secret(spark, docs):
     out = secrets.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
