@@ -21,8 +21,10 @@ BASE_KINDS = {
     "access": (r"AKIA[A-Z0-9]{16,}", 0),
     "hex": (r"[0-9a-f]{24,}", 0),
 }
+#: Up to its END line, before which no other key begins; without one, headers and what looks like base64. Possessive: no length is too much.
+_PEM = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,30}PRIVATE KEY-----|(?:\s*+[A-Za-z][A-Za-z0-9-]*+:[^\n]*+)*+[A-Za-z0-9+/=\s]*+)"
 MORE_KINDS = {
-    "pem": (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,8000}", 0),
+    "pem": (_PEM, 0),
     "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0),
     "github": (r"gh[pousr]_[A-Za-z0-9]{36,}", 0),
     "slack": (r"xox[abprs]-[A-Za-z0-9-]{10,}", 0),
@@ -30,7 +32,7 @@ MORE_KINDS = {
     "stripe": (r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}", 0),
     "url": (r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,80}:([^\s:/@]{3,80})@", 1),
 }
-GENERIC = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,400}[0-9])(?=[0-9+/_-]{0,400}[A-Za-z])[A-Za-z0-9+/_-]{20,}"
+GENERIC = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+"
 KINDS = [*BASE_KINDS, *MORE_KINDS, "generic"]
 #: What `assign` needs in group 2, and a generic token in distinct characters.
 ASSIGNED, DISTINCT = 6, 10
@@ -68,13 +70,26 @@ def _spans(text: Column, kind: str, pattern: str, group: int) -> Column:
 
 
 def _scan(docs: DataFrame, keep: list[str], owner: str) -> DataFrame:
-    """`keep`, __uid, __owner and __spans (all but generic ones that overlap others), written to the shared folder."""
+    """`keep`, __uid, __owner and __spans (of generic ones, the parts that no other covers), written to the shared folder."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(*keep, F.monotonically_increasing_id().alias("__uid"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("__owner"), text.alias("__t"))
     known = F.concat(*(_spans(F.col("__t"), k, p, g) for k, (p, g) in {**BASE_KINDS, **MORE_KINDS}.items()))
     rows = rows.withColumn("__known", known).withColumn("__generic", _spans(F.col("__t"), "generic", GENERIC, 0))
-    apart = F.filter("__generic", lambda g: ~F.exists("__known", lambda k: (k["start"] < g["stop"]) & (g["start"] < k["stop"])))
-    return cut(rows.select(*keep, "__uid", "__owner", F.concat("__known", apart).alias("__spans")), "secret-spans")
+    rows = rows.withColumn("__known", F.array_sort("__known"))
+    return cut(rows.select(*keep, "__uid", "__owner", F.concat("__known", F.flatten(F.transform("__generic", _uncovered))).alias("__spans")), "secret-spans")
+
+
+def _uncovered(g: Column) -> Column:
+    """The parts of a generic span between the known ones, which are in order."""
+    part = lambda start, stop: F.array(F.struct(start.alias("start"), g["rank"].alias("rank"), stop.alias("stop"), g["hash"].alias("hash")))
+
+    def step(acc: Column, k: Column) -> Column:
+        out = F.when(k["start"] > acc["at"], F.concat(acc["out"], part(acc["at"], k["start"]))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], k["stop"]).alias("at"), out.alias("out"))
+
+    rest = lambda acc: F.when(acc["at"] < g["stop"], F.concat(acc["out"], part(acc["at"], g["stop"]))).otherwise(acc["out"])
+    over = F.filter("__known", lambda k: (k["start"] < g["stop"]) & (g["start"] < k["stop"]))
+    return F.aggregate(over, F.struct(g["start"].alias("at"), _none().alias("out")), step, rest)
 
 
 def _judged(scanned: DataFrame) -> DataFrame:
