@@ -1,19 +1,22 @@
 """Simulated reads with a label for every base.
 
 Each read has a random generator of its own, seeded by its number, so the same reads come from any partitioning.
+Transcripts of a table have running numbers in order of their names; a read draws numbers by a keyed hash, over all of them.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.config import FORWARD, REVERSED, Structure
+from ..plans.lineage import cut
 
 BASES = "ACGT"
 _COMPLEMENT = str.maketrans("ACGT", "TGCA")
@@ -97,21 +100,22 @@ def _random(rng: np.random.Generator, n: int) -> str:
     return "".join(BASES[k] for k in rng.integers(0, 4, n))
 
 
-def segment(rng: np.random.Generator, name: str, pattern: str, shape: Shape, transcripts: list[str]) -> str:
+def segment(rng: np.random.Generator, name: str, pattern: str, shape: Shape, transcript: Callable[[int], str]) -> str:
+    """transcript: gives the next transcript; its argument is the length of a random one."""
     if m := re.match(r"N(\d+)", pattern):
         return _random(rng, int(m[1]))
     if pattern == "NN":
         n = int(rng.integers(*shape.insert))
-        source = transcripts[rng.integers(len(transcripts))] if transcripts else _random(rng, n)
+        source = transcript(n)
         return source[:n] if len(source) > n and rng.random() < 0.5 else source[-n:]
     if pattern == "RN":
         n = min(int(rng.integers(shape.spacer[0], shape.spacer[1] + 1)), SPACER)
-        return (transcripts[rng.integers(len(transcripts))] if transcripts else _random(rng, n))[:n]
+        return transcript(n)[:n]
     return pattern * int(rng.integers(0, TAIL)) if pattern in ("A", "T") else pattern
 
 
-def assemble(rng: np.random.Generator, s: Structure, shape: Shape, transcripts: list[str]) -> tuple[str, list[str]]:
-    parts = [(segment(rng, n, p, shape, transcripts), n) for n, p in zip(*layout(s), strict=True)]
+def assemble(rng: np.random.Generator, s: Structure, shape: Shape, transcript: Callable[[int], str]) -> tuple[str, list[str]]:
+    parts = [(segment(rng, n, p, shape, transcript), n) for n, p in zip(*layout(s), strict=True)]
     seq, labels = "".join(x for x, _ in parts), [n for x, n in parts for _ in x]
     if seq and shape.cut_5p and labels[0] != INSERT:
         n = int(rng.integers(0, shape.cut_5p + 1))
@@ -145,25 +149,60 @@ def with_noise(rng: np.random.Generator, seq: str, labels: list[str], noise: Noi
 _SCHEMA = "ReadName string, read string, labels array<string>, structure_type string, expected_fragments int"
 
 
-def simulate(spark: SparkSession, structures: list[Structure], n: int, noise: Noise | None = None, shape: Shape | None = None, transcripts: list[str] = (), twins: bool = False, seed: int = 0, prefix: str = "sim_") -> DataFrame:
-    """ReadName, read, labels, structure_type, expected_fragments of n reads, structures drawn by their shares; with twins, each also reverse-complemented."""
-    noise, shape, transcripts = noise or Noise(), shape or Shape(), list(transcripts)
+def _numbered(transcripts: DataFrame) -> tuple[DataFrame, int]:
+    """number (0 to count - 1, by ReadName and read) and read of each transcript, and their count. Only sums over partitions are collected."""
+    rows = cut(transcripts.orderBy("ReadName", "read").select(F.monotonically_increasing_id().alias("at"), "read"), "transcripts")
+    part = F.shiftright("at", 33)
+    first, total = [], 0
+    for r in rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect():
+        first.append((r.part, total))
+        total += r.n
+    offsets = F.broadcast(rows.sparkSession.createDataFrame(first, "part long, first long"))
+    return rows.withColumn("part", part).join(offsets, "part").select((F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("number"), "read"), total
+
+
+def simulate(spark: SparkSession, structures: list[Structure], n: int, noise: Noise | None = None, shape: Shape | None = None, transcripts: DataFrame | list[str] = (), twins: bool = False, seed: int = 0, prefix: str = "sim_") -> DataFrame:
+    """ReadName, read, labels, structure_type, expected_fragments of n reads, structures drawn by their shares; with twins, each also reverse-complemented.
+
+    transcripts: a table of ReadName and read of any size, or a list; if there are none, inserts and spacers are random.
+    """
+    noise, shape = noise or Noise(), shape or Shape()
+    numbered, total = _numbered(transcripts) if isinstance(transcripts, DataFrame) else (None, 0)
+    known = [] if isinstance(transcripts, DataFrame) else list(transcripts)
     share = np.array([s.proportion for s in structures], float)
     share /= share.sum()
+    wanted = [sum(p in ("NN", "RN") for p in layout(s)[1]) for s in structures]
+
+    def start(k: int) -> tuple[np.random.Generator, int]:
+        rng = np.random.Generator(np.random.PCG64([seed, int(k)]))
+        return rng, int(rng.choice(len(structures), p=share))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([(k, j) for k in b["id"] for j in range(wanted[start(k)[1]])], columns=["id", "slot"])
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for k in b["id"]:
-                rng = np.random.Generator(np.random.PCG64([seed, int(k)]))
-                s = structures[rng.choice(len(structures), p=share)]
-                seq, labels = assemble(rng, s, shape, transcripts)
+            for k, own in zip(b["id"], b["own"] if "own" in b else [None] * len(b), strict=True):
+                rng, kind = start(k)
+                s = structures[kind]
+                if own is not None:
+                    drawn = iter(own)
+                    transcript = lambda _, drawn=drawn: next(drawn)
+                else:
+                    transcript = lambda size, rng=rng: known[rng.integers(len(known))] if known else _random(rng, size)
+                seq, labels = assemble(rng, s, shape, transcript)
                 for tag, read, marks in [("", seq, labels), ("_rc", reverse_complement(seq), labels[::-1])][: 1 + twins]:
-                    noisy, own = with_noise(rng, read, marks, noise)
-                    rows.append((f"{prefix}{k}{tag}", noisy, own, s.name, s.repeat))
+                    noisy, own_marks = with_noise(rng, read, marks, noise)
+                    rows.append((f"{prefix}{k}{tag}", noisy, own_marks, s.name, s.repeat))
             yield pd.DataFrame(rows, columns=["ReadName", "read", "labels", "structure_type", "expected_fragments"])
 
-    return spark.range(n).mapInPandas(make, _SCHEMA)
+    if not total:
+        return spark.range(n).mapInPandas(make, _SCHEMA)
+    asked = spark.range(n).mapInPandas(ask, "id long, slot int").withColumn("number", F.pmod(F.xxhash64(F.lit(seed), "id", "slot"), F.lit(total)))
+    drawn = asked.join(numbered, "number").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("slot", "read"))).alias("own"))
+    return drawn.select("id", F.col("own.read").alias("own")).mapInPandas(make, _SCHEMA)
 
 
 def rescale(structures: list[Structure], concat_fraction: float) -> list[Structure]:

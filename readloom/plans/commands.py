@@ -202,7 +202,7 @@ def featurecounts(spark, a):
 @command(config=str, model=str, out=str, num_reads=50000, mismatch_rate=0.05, insertion_rate=0.05, deletion_rate=0.06, polyt_error_rate=0.02, max_insertions=1, min_cdna=100, max_cdna=500, rc=True, max_trunc_5p=0, max_trunc_3p=0, min_spacer=0, max_spacer=50, transcriptome="", seed=0, kind="training")
 def simulate_data(spark, a):
     plans = config.structures(config.load(a.config), a.model, a.kind)
-    transcripts = [r.read for r in fastx.read_sequences(spark, a.transcriptome).select("read").limit(100_000).collect()] if a.transcriptome else []
+    transcripts = fastx.read_sequences(spark, a.transcriptome).select("ReadName", "read") if a.transcriptome else []
     noise = simulate.Noise(a.mismatch_rate, a.insertion_rate, a.deletion_rate, a.polyt_error_rate, a.max_insertions)
     shape = simulate.Shape((a.min_cdna, a.max_cdna), (a.min_spacer, a.max_spacer), a.max_trunc_5p, a.max_trunc_3p)
     _save(simulate.simulate(spark, plans, a.num_reads, noise, shape, transcripts, a.rc, a.seed), a.out)

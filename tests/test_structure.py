@@ -103,3 +103,22 @@ def test_model_labels(spark):
     got = {r.ReadName: r.labels for r in labelers.with_model(rows, lambda: lambda codes: codes % 2, ["x", "y"]).collect()}
     assert got == {"r": ["y", "x", "y", "x", "y"], "s": ["y", "x"]}
     assert labelers.padded_width(999) == 1012 and labelers.padded_width(999, [(25, 1), (9, 4)]) == 1016
+
+
+def test_every_transcript_can_be_drawn(spark, tmp_path):
+    """150 000 records, of which a third come after the first 100 000, give a third of the inserts."""
+    from readloom.sources import fastx
+
+    (tmp_path / "fa").mkdir()
+    (tmp_path / "fa/t.fa").write_text("".join(f">t{k:06d}\n{'A' * 40 if k < 100_000 else 'G' * 40}\n" for k in range(150_000)))
+    one = simulate.Structure("one", ("5p", "cDNA", "3p"), ("CTACACGACGCTCTTCCGATCT", "NN", "CCCATGTACTCTGCGTTGATACCACTGCTT"), 1.0)
+    source = fastx.read_sequences(spark, str(tmp_path / "fa")).select("ReadName", "read")
+    draw = lambda rows: {r.ReadName: r.read for r in simulate.simulate(spark, [one], 300, simulate.Noise(0, 0, 0, 0), simulate.Shape((20, 30), (0, 0)), rows, seed=3).collect()}
+    got = draw(source)
+    assert len(got) == 300 and got == draw(source.repartition(7))
+    late = sum("G" * 20 in x for x in got.values())
+    assert 60 < late < 140 and sum("A" * 20 in x for x in got.values()) == 300 - late
+    numbered, total = simulate._numbered(source)
+    assert total == 150_000 and sorted(r.number for r in numbered.select("number").collect()) == list(range(total))
+    assert [r.read[0] for r in numbered.where("number in (99999, 100000)").orderBy("number").collect()] == ["A", "G"]
+    assert simulate.simulate(spark, [one], 5, transcripts=source.limit(0), seed=3).count() == 5
