@@ -8,9 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequences import deletions2
+from ..plans.lineage import cut
+
 UNMAPPED, REVERSE, SECONDARY, DUPLICATE, SUPPLEMENTARY = 0x4, 0x10, 0x100, 0x400, 0x800
 #: Width of the position bins in which duplicates are sought.
 POSITION = 10
+#: Different UMIs of one key that are folded in one row.
+FOLDED = 1000
 _NAME = "^(.*)_([^_]*)_([^_]*)$"
 
 
@@ -45,21 +50,61 @@ def leaders(umis: Column, threshold: int) -> Column:
     return F.aggregate(umis, none, lambda acc, u: F.when(F.exists(acc, lambda k: F.levenshtein(k, u, threshold) >= 0), acc).otherwise(F.concat(acc, F.array(u))))
 
 
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    same = F.lit(True)
+    for n in names:
+        same &= left[n] == right[n]
+    return same
+
+
+def _settled(umis: DataFrame, threshold: int) -> DataFrame:
+    """umis (key, name_umi, at) with umi_leader, as `leaders` decides it, for keys with so many UMIs that none can be folded in one row.
+
+    UMIs near each other meet through a variant with deletions. A UMI leads once all those before it near it are known not to, and
+    has a leader once one of them leads; rounds of joins settle it.
+    """
+    keyed = umis.withColumn("variant", F.explode(deletions2("name_umi")))
+    other = keyed.select("key", "variant", F.col("name_umi").alias("before"), F.col("at").alias("at_before"))
+    near = keyed.join(other, ["key", "variant"]).where("at_before < at or (at_before = at and before < name_umi)").select("key", "name_umi", "before", "at_before").distinct()
+    near = cut(near.where(F.levenshtein("name_umi", "before", threshold) >= 0), "near-umis")
+    state = cut(umis.withColumn("leader", F.lit(None).cast("string")), "umis")
+    while True:
+        known = state.select("key", F.col("name_umi").alias("before"), F.col("leader").alias("leader_before"))
+        order = F.struct("at_before", "before")
+        leads = F.col("leader_before") == F.col("before")
+        seen = state.where("leader is null").select("key", "name_umi").join(near, ["key", "name_umi"], "left").join(known, ["key", "before"], "left")
+        verdict = seen.groupBy("key", "name_umi").agg(F.min(F.when(leads, order)).alias("first"), F.min(F.when(F.col("before").isNotNull() & F.col("leader_before").isNull(), order)).alias("open"))
+        # the earliest leader counts once nothing open comes before it
+        mine = F.when(F.col("first").isNotNull() & (F.col("open").isNull() | (F.col("first") < F.col("open"))), F.col("first.before")).when(F.col("first").isNull() & F.col("open").isNull(), F.col("name_umi"))
+        state = state.join(verdict.select("key", "name_umi", mine.alias("mine")), ["key", "name_umi"], "left")
+        state = cut(state.select("key", "name_umi", "at", F.coalesce("leader", "mine").alias("leader")), "umis")
+        if not state.where("leader is null").limit(1).count():
+            return state.withColumnRenamed("leader", "umi_leader")
+
+
 def umi_decisions(alignments: DataFrame, threshold: int = 2, per_cell: bool = True, stranded: bool = True) -> DataFrame:
     """Primary alignments with a UMI: read, position key, ord, name_umi, umi_leader, is_dup.
 
     Within a key (contig, cell, strand, start and end each by 10), UMIs come in order of start, then file order. One that is
-    near a leader is its duplicate (the earliest such leader is reported), else it leads. Equal UMIs are collapsed before
-    they are folded, so a position with many copies folds few; the fold holds the different UMIs of one key.
+    near a leader is its duplicate (the earliest such leader is reported), else it leads. Equal UMIs are collapsed first. The UMIs of a
+    key are folded in one row; keys with more than FOLDED different ones are settled by joins, with the same result, for thresholds
+    up to 2. Runs a job to find these keys.
     """
     rows = with_name_parts(alignments).where(~has(UNMAPPED | SECONDARY | SUPPLEMENTARY) & F.col("name_umi").isNotNull())
     keys = position_key(per_cell, stranded)
     rows = rows.select("*", *[k for k in keys if k._jc.toString() != "rname"])
     names = ["rname", "start_bin", "end_bin", *(["key_cb"] if per_cell else []), *(["key_strand"] if stranded else [])]
     first = rows.groupBy(*names, "name_umi").agg(F.min(F.struct("start", "ord")).alias("at"))
-    folded = first.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("at", "name_umi"))).alias("seen"))
+    key = F.struct(*names)
+    sizes = first.groupBy(*names).agg(F.count("*").alias("n"))
+    crowded = cut(sizes.where(F.col("n") > FOLDED).select(*names), "crowded-keys") if threshold <= 2 else None
+    few = first.join(crowded, _same(first, crowded, names), "left_anti") if crowded is not None else first
+    folded = few.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("at", "name_umi"))).alias("seen"))
     folded = folded.withColumn("leaders", leaders(F.transform("seen", lambda x: x["name_umi"]), threshold))
     one = folded.select(*names, "leaders", F.explode("seen").alias("s")).select(*names, F.col("s.name_umi").alias("name_umi"), F.col("s.at").alias("at"), F.get(F.filter("leaders", lambda k: F.levenshtein(k, F.col("s.name_umi"), threshold) >= 0), F.lit(0)).alias("umi_leader"))
+    if crowded is not None and crowded.limit(1).count():
+        many = first.join(crowded, _same(first, crowded, names), "left_semi").select(key.alias("key"), "name_umi", "at")
+        one = one.unionByName(_settled(many, threshold).select("key.*", "name_umi", "at", "umi_leader"))
     out = rows.join(one, [*names, "name_umi"])
     lead = (F.col("name_umi") == F.col("umi_leader")) & (F.struct("start", "ord") == F.col("at"))
     return out.withColumn("is_dup", ~lead).drop("at")
@@ -108,16 +153,22 @@ def write_cells(kept: DataFrame, path: str) -> None:
     kept.repartition("bucket").sortWithinPartitions("cb", "rname", "start").write.partitionBy("cb").mode("overwrite").parquet(path)
 
 
-def gene_counts(alignments: DataFrame, exons: DataFrame, width: int = 100_000) -> DataFrame:
-    """gene_id, cell_id (cb), count: reads with a block over an exon of the gene, each read once a gene.
+def gene_counts(blocks: DataFrame, features: DataFrame, width: int = 100_000, overlapping: bool = True, stranded: bool = False) -> DataFrame:
+    """gene_id, cell_id (cb), count: reads with a block over a feature of the gene, each read once a gene.
 
-    exons: rname, start, end, gene_id. Overlap is an equi-join on windows of `width` bases, then a check of the ranges.
+    blocks: qname, cb, rname, start, end (half open; `qc.blocks_of`), strand for `stranded`: introns are in none, so a read
+    spliced over an exon does not count for it. features: rname, start, end, gene_id, strand. overlapping: a read over several genes
+    counts for each of them, else for none. Overlap is an equi-join on windows of `width` bases, then a check of the ranges.
     """
     windows = lambda a, z: F.explode(F.sequence(F.floor(a / width), F.floor((z - 1) / width)))
-    a = alignments.where(~has(UNMAPPED)).select("qname", "rname", "cb", F.col("start").alias("s"), F.col("end").alias("e")).withColumn("w", windows(F.col("s"), F.col("e")))
-    x = exons.select("rname", "gene_id", "start", "end").withColumn("w", windows(F.col("start"), F.col("end")))
-    hit = a.join(x, ["rname", "w"]).where("s < end and start < e")
-    return hit.groupBy("gene_id", F.col("cb").alias("cell_id")).agg(F.countDistinct("qname").alias("count"))
+    own = ["strand"] if stranded else []
+    a = blocks.select("qname", "rname", "cb", *own, F.col("start").alias("s"), F.col("end").alias("e")).where("s < e").withColumn("w", windows(F.col("s"), F.col("e")))
+    x = features.select("rname", "gene_id", *own, "start", "end").where("start < end").withColumn("w", windows(F.col("start"), F.col("end")))
+    hit = a.join(x, ["rname", "w", *own]).where("s < end and start < e")
+    once = hit.groupBy("qname", "cb", "gene_id").agg(F.lit(1).alias("one"))
+    if not overlapping:
+        once = once.groupBy("qname", "cb").agg(F.min("gene_id").alias("gene_id"), F.count("*").alias("n")).where("n = 1")
+    return once.groupBy("gene_id", F.col("cb").alias("cell_id")).agg(F.count("*").alias("count"))
 
 
 def merge_matrices(tables: list[DataFrame]) -> DataFrame:
@@ -165,7 +216,7 @@ def saturation(alignments: DataFrame, fractions: int = 10, seed: int = 0) -> Dat
     one pass gives all: each (cb, ub) counts from the smallest sample that has it.
     """
     rows = alignments.where(~has(SECONDARY | SUPPLEMENTARY) & F.col("cb").isNotNull() & F.col("ub").isNotNull())
-    place = F.ceil((F.pmod(F.xxhash64(F.lit(seed), "qname"), F.lit(1_000_000)) + 1) * fractions / F.lit(1_000_000.0)).cast("int")
+    place = F.ceil((F.pmod(F.crc32(F.concat(F.lit(f"{seed}:"), "qname")), F.lit(1_000_000)) + 1) * fractions / F.lit(1_000_000.0)).cast("int")
     rows = rows.select("cb", "ub", place.alias("step"))
     reads = rows.groupBy("step").agg(F.count("*").alias("reads"))
     first = rows.groupBy("cb", "ub").agg(F.min("step").alias("step")).groupBy("step").agg(F.count("*").alias("umis"))

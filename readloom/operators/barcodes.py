@@ -1,9 +1,9 @@
 """Barcode correction against a whitelist, cells, and records of demultiplexed reads.
 
 Work is done once for each different barcode, not for each read. Exact and reverse-complement hits are equi-joins. The
-rest meets the whitelist through shared deletion variants, an equi-join too, and distances are checked on these pairs
-only; thresholds over 2 compare all pairs of remaining barcodes and whitelist. Whitelist and different barcodes are written
-first, so Spark knows their sizes and broadcasts a whitelist only if it is small.
+rest meets the whitelist by equi-joins too, and distances are checked on the pairs found: through an unchanged piece, or, where the
+whitelist is so large that pieces are shared by many, through a variant with deletions. Both find all pairs. Whitelist and
+different barcodes are written first, so Spark knows their sizes and broadcasts a whitelist only if it is small.
 """
 
 from __future__ import annotations
@@ -17,28 +17,57 @@ from ..plans.lineage import cut
 NO_MATCH, AMBIGUOUS = "NMF", "ambiguous"
 
 
+#: Whitelists of more rows than this meet through deletion variants, if the threshold allows.
+MANY = 50_000
+
+
 def _near(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    """(seq, probe, barcode, place, dist): pairs of probe and barcode within the threshold, by Levenshtein distance."""
-    if threshold > 2:
-        pairs = left.crossJoin(right)
-    else:
+    """(seq, probe, side, barcode, place, dist): pairs of probe and barcode within the threshold, by Levenshtein distance."""
+    if threshold <= 2 and right.count() > MANY:
         # two sequences within 2 edits have a variant of at most 2 deletions each in common
         a = left.withColumn("key", F.explode(deletions2("probe")))
         b = right.withColumn("key", F.explode(deletions2("barcode")))
-        pairs = a.join(b, "key").select("seq", "probe", "side", "barcode", "place").distinct()
+    else:
+        lengths = [r.n for r in right.select(F.length("barcode").alias("n")).distinct().orderBy("n").collect()]
+        a = left.withColumn("key", F.explode(F.array_distinct(_probes("probe", lengths, threshold))))
+        b = right.withColumn("key", F.explode(F.array(*(_piece(F.length("barcode"), k, "barcode", *_bounds(F.length("barcode"), k, threshold)) for k in range(threshold + 1)))))
+    pairs = a.join(b, "key").select("seq", "probe", "side", "barcode", "place").distinct()
     return pairs.withColumn("dist", F.levenshtein("probe", "barcode", threshold)).where("dist >= 0")
 
 
+def _bounds(length, k: int, threshold: int):
+    """Start and size of the k-th of threshold + 1 pieces: threshold edits leave one of them as it is."""
+    at = lambda j: F.floor(length * j / F.lit(threshold + 1)).cast("int") if isinstance(length, Column) else length * j // (threshold + 1)
+    return at(k), at(k + 1) - at(k)
+
+
+def _piece(length, k: int, text: str, start, size) -> Column:
+    of = length if isinstance(length, Column) else F.lit(length)
+    start, size = (x if isinstance(x, Column) else F.lit(x) for x in (start, size))
+    return F.xxhash64(of, F.lit(k), F.col(text).substr(start + 1, size))
+
+
+def _probes(probe: str, lengths: list[int], threshold: int) -> Column:
+    """Keys of the pieces that barcodes of these lengths may share with a probe: at their places, moved by up to the threshold."""
+    keys = []
+    for n in lengths:
+        near = F.abs(F.length(probe) - n) <= threshold
+        for k in range(threshold + 1):
+            start, size = _bounds(n, k, threshold)
+            keys += [F.when(near & (F.length(probe) >= start + move + size), _piece(n, k, probe, start + move, size)) for move in range(-threshold, threshold + 1) if start + move >= 0]
+    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
+
+
 def correct(observed: DataFrame, whitelist: DataFrame, threshold: int = 2, limit: int = 5, distinct: bool = False) -> DataFrame:
     """seq, corrected, min_dist, n_min, candidates (array) of every different observed sequence.
 
     observed: seq. whitelist: barcode, place (row order). In the whitelist: itself, 0, 1. Its reverse complement there: that, 0, 1.
     Else the barcodes at the smallest distance up to the threshold, of the `limit` nearest of the sequence and
     then of its reverse complement, comma-joined in order of place; a barcode near to both is named twice, unless
-    `distinct`. None: NMF, threshold + 1, 0. A missing sequence: NMF, -1, 0.
+    `distinct`. None: NMF, threshold + 1, 0. A missing sequence: NMF, -1, 0. Runs jobs: both sides and the result are written.
     """
-    white = cut(whitelist.where(usable("barcode").isNotNull()).groupBy("barcode").agg(F.min("place").alias("place")), "whitelist", few=True)
-    seqs = cut(observed.select(F.col("seq").cast("string").alias("seq")).distinct(), "observed", few=True)
+    white = cut(whitelist.where(usable("barcode").isNotNull()).groupBy("barcode").agg(F.min("place").alias("place")), "whitelist")
+    seqs = cut(observed.select(F.col("seq").cast("string").alias("seq")).distinct(), "observed")
     known = F.coalesce(~F.col("seq").isin("", "nan", "None", "NaN"), F.lit(False))
     there = white.select("barcode")
     found = seqs.where(known).withColumn("rc", reverse_complement("seq"))
@@ -62,7 +91,7 @@ def correct(observed: DataFrame, whitelist: DataFrame, threshold: int = 2, limit
         F.coalesce("candidates", none).alias("candidates"),
     )
     missing = seqs.where(~known).select("seq", F.lit(NO_MATCH).alias("corrected"), F.lit(-1).alias("min_dist"), F.lit(0).alias("n_min"), none.alias("candidates"))
-    return cut(out.unionByName(missing), "corrected", few=True)
+    return cut(out.unionByName(missing), "corrected")
 
 
 def whitelist_barcodes(whitelist: DataFrame, column: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import canonical, deletions, usable
 from ..plans.lineage import cut
+from .ranking import numbered
 
 
 def count_barcodes(reads: DataFrame, columns: list[str], lengths: dict[str, int | None] | None = None) -> DataFrame:
@@ -22,16 +23,9 @@ def count_barcodes(reads: DataFrame, columns: list[str], lengths: dict[str, int
 
 
 def ranked(counts: DataFrame) -> DataFrame:
-    """counts with rank (1: most reads). Reads of equal counts are alike for the knee; ties go by barcode.
-
-    Ranks need no single task: counts are few different numbers, and the rank of a row is the rows of larger counts plus
-    its place among those of its own.
-    """
+    """counts with rank (1: most reads); ties go by barcode. Runs jobs; nearly all barcodes may have the same count."""
     columns = [c for c in counts.columns if c != "read_count"]
-    by = counts.groupBy("read_count").agg(F.count("*").alias("n"))
-    before = by.select("read_count", (F.sum("n").over(Window.orderBy(F.desc("read_count"))) - F.col("n")).alias("before"))
-    own = F.row_number().over(Window.partitionBy("read_count").orderBy(*columns))
-    return counts.withColumn("__own", own).join(before, "read_count").withColumn("rank", F.col("before") + F.col("__own")).drop("before", "__own")
+    return numbered(counts, F.desc("read_count"), *columns)
 
 
 def knee(counts: DataFrame, min_reads: int = 3, ratio: float = 0.01, expected: int | None = None) -> DataFrame:
@@ -93,7 +87,7 @@ def merge_near(barcodes: DataFrame, columns: list[str], distance: int = 1) -> Da
     pairs = near_pairs(barcodes, columns, distance).select("a", "b")
     order = base.select("a", F.struct((-F.col("read_count")).alias("c"), F.col("a").alias("name")).alias("o"))
     larger = pairs.join(order.withColumnRenamed("o", "oa"), "a").join(order.select(F.col("a").alias("b"), F.col("o").alias("ob")), "b").where("ob < oa").select("a", "b", "ob")
-    larger = cut(larger, "merge-pairs", few=True)
+    larger = cut(larger, "merge-pairs")
     state = base.select("a").withColumn("state", F.lit(None).cast("string")).withColumn("to", F.lit(None).cast("array<string>"))
     while True:
         open_ = state.where("state is null")
@@ -107,7 +101,7 @@ def merge_near(barcodes: DataFrame, columns: list[str], distance: int = 1) -> Da
         merged = F.col("into").isNotNull() & (F.col("first_open").isNull() | (F.col("into.ob") < F.col("first_open")))
         verdict = verdict.select("a", F.when(merged, "merged").when(F.col("into").isNull() & (F.col("unsettled") == 0), "canonical").alias("s2"), F.when(merged, F.col("into.to")).alias("t2"))
         state = state.join(verdict, "a", "left").select("a", F.coalesce("state", "s2").alias("state"), F.coalesce("to", "t2").alias("to"))
-        state = cut(state, "merge-state", few=True)
+        state = cut(state, "merge-state")
         if not state.where("state is null").limit(1).count():
             break
     out = base.join(state, "a").select(*columns, "read_count", F.coalesce("to", "a").alias("canonical"))

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import fragment, known_cell, percent, remainder
+from .ranking import numbered
 
-#: Order of segments in reports, numbers of bins that reports offer, and how many bars they can show.
+#: Order of segments in reports, and numbers of bins that reports offer.
 SEGMENT_ORDER = ["5p", "CBC", "UMI", "SLS", "polyT", "cDNA", "polyA", "3p", "random_s", "random_e"]
 BIN_PRESETS = [50, 100, 200, 500, 1000, 2000, 5000, 10000, 20000, 50000, 100000, 200000, 300000, 400000, 500000, 1000000]
-TOP_PRESETS = [5, 10, 15, 20, 50]
 FAR = 5
 COVERAGE_BINS, SHORTEST = 100, 100
 
@@ -148,9 +148,9 @@ def length_distribution(valid: DataFrame, invalid: DataFrame | None, bin_width:
 
 
 def reads_per_cell(valid: DataFrame) -> DataFrame:
-    """cell_id, read_count, rank from the cell with most reads; ties by cell_id. Cells are few next to reads."""
+    """cell_id, read_count, rank from the cell with most reads; ties by cell_id. Runs jobs."""
     counts = _demuxed(valid).groupBy(F.col("cell_id").cast("string").alias("cell_id")).agg(F.count("*").alias("read_count"))
-    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("read_count"), "cell_id")))
+    return numbered(counts, F.desc("read_count"), "cell_id").withColumn("rank", F.col("rank").cast("int"))
 
 
 def barcode_discovery(ranked: DataFrame, knee: DataFrame) -> DataFrame:
@@ -201,8 +201,8 @@ def duplication_stats(totals: DataFrame) -> DataFrame:
 
 
 def mapping_per_cell(cells: DataFrame) -> DataFrame:
-    """rank (by total), cell and its classes."""
-    return cells.select(F.row_number().over(Window.orderBy(F.desc("total"), "cb")).alias("rank"), F.col("cb").alias("cell_id"), "total", "unique", "secondary", "supplementary", "unmapped")
+    """rank (by total), cell and its classes. Runs jobs."""
+    return numbered(cells, F.desc("total"), "cb").select(F.col("rank").cast("int").alias("rank"), F.col("cb").alias("cell_id"), "total", "unique", "secondary", "supplementary", "unmapped")
 
 
 def duplicates_per_cell(cells: DataFrame) -> DataFrame:
@@ -272,7 +272,7 @@ def gene_positions(exons: DataFrame, bins: int = COVERAGE_BINS, shortest: int =
     """
     good = exons.where((F.trim("transcript_id") != "") & (F.trim("gene_id") != "")).withColumn("gene_id", strip_version("gene_id"))
     size = good.groupBy("gene_id", "transcript_id").agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
-    best = size.groupBy("gene_id").agg(F.max_by(F.struct("transcript_id", "bases"), F.struct("bases", F.hash("transcript_id"))).alias("b")).select("gene_id", "b.*").where(F.col("bases") >= shortest)
+    best = size.groupBy("gene_id").agg(F.max_by(F.struct("transcript_id", "bases"), F.struct("bases", "transcript_id")).alias("b")).select("gene_id", "b.*").where(F.col("bases") >= shortest)
     own = good.join(best, ["gene_id", "transcript_id"])
     before = F.sum(F.col("end") - F.col("start")).over(Window.partitionBy("gene_id").orderBy("start", "end")) - (F.col("end") - F.col("start"))
     own = own.withColumn("before", before)
@@ -310,4 +310,6 @@ def blocks_of(alignments: DataFrame) -> DataFrame:
         return F.struct(end.alias("at"), F.when(counts, F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), end.alias("end"))))).otherwise(acc["out"]).alias("out"))
 
     blocks = F.aggregate(ops, F.struct(F.col("start").cast("long").alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
-    return kept.select("qname", "rname", F.explode(blocks).alias("b")).select("qname", "rname", "b.start", "b.end")
+    more = [c for c in ("cb",) if c in kept.columns]
+    strand = F.when(has(0x10), "-").otherwise("+").alias("strand")
+    return kept.select("qname", "rname", *more, strand, F.explode(blocks).alias("b")).select("qname", "rname", *more, "strand", "b.start", "b.end")

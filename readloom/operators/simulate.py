@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.config import FORWARD, REVERSED, Structure
-from ..plans.lineage import cut
+from .ranking import numbered
 
 BASES = "ACGT"
 _COMPLEMENT = str.maketrans("ACGT", "TGCA")
@@ -100,65 +100,93 @@ def _random(rng: np.random.Generator, n: int) -> str:
     return "".join(BASES[k] for k in rng.integers(0, 4, n))
 
 
-def segment(rng: np.random.Generator, name: str, pattern: str, shape: Shape, transcript: Callable[[int], str]) -> str:
-    """transcript: gives the next transcript; its argument is the length of a random one."""
-    if m := re.match(r"N(\d+)", pattern):
-        return _random(rng, int(m[1]))
-    if pattern == "NN":
-        n = int(rng.integers(*shape.insert))
-        source = transcript(n)
-        return source[:n] if len(source) > n and rng.random() < 0.5 else source[-n:]
-    if pattern == "RN":
-        n = min(int(rng.integers(shape.spacer[0], shape.spacer[1] + 1)), SPACER)
-        return transcript(n)[:n]
-    return pattern * int(rng.integers(0, TAIL)) if pattern in ("A", "T") else pattern
+@dataclass
+class Maker:
+    """Draws the sequences of one read's segments. transcript: gives the next transcript; its argument is the length of a random one."""
+
+    rng: np.random.Generator
+    shape: Shape
+    transcript: Callable[[int], str]
+
+    def insert(self, lengths: tuple[int, int]) -> str:
+        """An end of a transcript, either one alike."""
+        n = int(self.rng.integers(*lengths))
+        source = self.transcript(n)
+        from_front = len(source) > n and bool(self.rng.integers(2))
+        return source[:n] if from_front else source[-n:]
+
+    def spacer(self) -> str:
+        low, high = self.shape.spacer
+        n = min(SPACER, int(self.rng.integers(low, high, endpoint=True)))
+        return self.transcript(n)[:n]
+
+    def of(self, pattern: str, lengths: tuple[int, int]) -> str:
+        """A fixed sequence stays; NN, RN, a tail's base and N<length> stand for an insert, a spacer, a tail and random bases."""
+        match pattern:
+            case "NN":
+                return self.insert(lengths)
+            case "RN":
+                return self.spacer()
+            case "A" | "T":
+                return pattern * int(self.rng.integers(TAIL))
+        count = re.match(r"N(\d+)", pattern)
+        return _random(self.rng, int(count[1])) if count else pattern
+
+    def shortened(self, size: int, most: int, label: str) -> int:
+        """Bases to cut off an end: none of an insert."""
+        return int(self.rng.integers(most, endpoint=True)) if most and size and label != INSERT else 0
 
 
 def assemble(rng: np.random.Generator, s: Structure, shape: Shape, transcript: Callable[[int], str]) -> tuple[str, list[str]]:
-    parts = [(segment(rng, n, p, shape, transcript), n) for n, p in zip(*layout(s), strict=True)]
-    seq, labels = "".join(x for x, _ in parts), [n for x, n in parts for _ in x]
-    if seq and shape.cut_5p and labels[0] != INSERT:
-        n = int(rng.integers(0, shape.cut_5p + 1))
-        seq, labels = seq[n:], labels[n:]
-    if seq and shape.cut_3p and labels[-1] != INSERT:
-        n = int(rng.integers(0, shape.cut_3p + 1))
-        if 0 < n < len(seq):
-            seq, labels = seq[:-n], labels[:-n]
-    return seq, labels
+    maker = Maker(rng, shape, transcript)
+    names, patterns = layout(s)
+    pieces = [maker.of(p, s.length_range or shape.insert) for p in patterns]
+    seq, labels = "".join(pieces), np.repeat(np.array(names, object), [len(x) for x in pieces]).tolist()
+    front = maker.shortened(len(seq), shape.cut_5p, labels[0] if labels else "")
+    seq, labels = seq[front:], labels[front:]
+    back = maker.shortened(len(seq), shape.cut_3p, labels[-1] if labels else "")
+    keep = len(seq) - back if back < len(seq) else len(seq)
+    return seq[:keep], labels[:keep]
+
+
+_LETTERS = np.frombuffer(BASES.encode(), np.uint8)
+_PLACE = np.full(256, -1)
+_PLACE[_LETTERS] = np.arange(len(BASES))
 
 
 def with_noise(rng: np.random.Generator, seq: str, labels: list[str], noise: Noise) -> tuple[str, list[str]]:
-    """One draw for each base: another base, the base and some more, no base, or the base."""
-    out, marks = [], []
-    for base, label, r in zip(seq, labels, rng.random(len(seq)), strict=True):
-        mismatch, insertion, deletion = noise.of(label)
-        if r < mismatch:
-            added = BASES.replace(base, "")[rng.integers(3)]
-        elif r < mismatch + insertion:
-            added, more = base, 0
-            while more < noise.max_insertions and (more == 0 or rng.random() < insertion):
-                added += BASES[rng.integers(4)]
-                more += 1
-        else:
-            added = "" if r < mismatch + insertion + deletion else base
-        out.append(added)
-        marks += [label] * len(added)
-    return "".join(out), marks
+    """The read with errors, all bases at a time: one draw decides whether a base becomes another, gets more behind it, goes, or stays.
+
+    A base that gets more gets one, and a further one with the same rate each, up to the most that there may be.
+    """
+    n = len(seq)
+    if not n:
+        return "", []
+    kinds, kind = np.unique(np.array(labels, object).astype(str), return_inverse=True)
+    mismatch, insertion, deletion = np.array([noise.of(k) for k in kinds.tolist()])[kind].T
+    draw = rng.random(n)
+    changed, longer = draw < mismatch, (draw >= mismatch) & (draw < mismatch + insertion)
+    gone = ~changed & ~longer & (draw < mismatch + insertion + deletion)
+    raw = np.frombuffer(seq.encode("latin-1"), np.uint8)
+    place = _PLACE[raw]
+    other = np.where(place >= 0, (place + rng.integers(1, 4, n)) % 4, rng.integers(0, 4, n))
+    shown = np.where(changed, _LETTERS[other], raw)
+    more = np.where(longer, np.minimum(rng.geometric(1 - np.minimum(insertion, 0.999)), noise.max_insertions), 0)
+    copies = np.where(gone, 0, 1 + more)
+    out = np.repeat(shown, copies)
+    first = np.zeros(len(out), bool)
+    first[(np.cumsum(copies) - copies)[copies > 0]] = True
+    out[~first] = _LETTERS[rng.integers(0, 4, int((~first).sum()))]
+    return out.tobytes().decode("latin-1"), np.repeat(np.array(labels, object), copies).tolist()
 
 
 _SCHEMA = "ReadName string, read string, labels array<string>, structure_type string, expected_fragments int"
 
 
 def _numbered(transcripts: DataFrame) -> tuple[DataFrame, int]:
-    """number (0 to count - 1, by ReadName and read) and read of each transcript, and their count. Only sums over partitions are collected."""
-    rows = cut(transcripts.orderBy("ReadName", "read").select(F.monotonically_increasing_id().alias("at"), "read"), "transcripts")
-    part = F.shiftright("at", 33)
-    first, total = [], 0
-    for r in rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect():
-        first.append((r.part, total))
-        total += r.n
-    offsets = F.broadcast(rows.sparkSession.createDataFrame(first, "part long, first long"))
-    return rows.withColumn("part", part).join(offsets, "part").select((F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("number"), "read"), total
+    """number (0 to count - 1, by ReadName and read) and read of each transcript, and their count."""
+    rows = numbered(transcripts.select("ReadName", "read"), "ReadName", "read", name="number", first=0).select("number", "read")
+    return rows, rows.count()
 
 
 def simulate(spark: SparkSession, structures: list[Structure], n: int, noise: Noise | None = None, shape: Shape | None = None, transcripts: DataFrame | list[str] = (), twins: bool = False, seed: int = 0, prefix: str = "sim_") -> DataFrame:

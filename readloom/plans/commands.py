@@ -98,7 +98,7 @@ def annotate_reads(spark, a):
         rows = labelers.by_adapters(rows, lib.known_adapters(), inner, lib.names, next((n for n in lib.names if n in structure.POLY), None))
     rows = rows.withColumn("labels", structure.as_codes(F.col("labels"), segments))
     done = structure.annotate(rows, segments, split=a.split_concatenated)
-    _save(done.repartition("architecture"), f"{a.out}/annotations")
+    _save(done, f"{a.out}/annotations")
     if a.whitelist:
         a.annotations, a.strand = f"{a.out}/annotations", lib.strand
         barcode_correct(spark, a)

@@ -166,6 +166,32 @@ def split_concatenated(spark, sf_dir):
     return a.where(sq.fragment("ReadName") | sq.remainder("ReadName")).select("ReadName", "architecture", "reason", F.col("CBC_Sequences").alias("barcode"))
 
 
+_LEAD_BASE = "translate(substring(read, p + 1, 1), 'ACGT', 'GTAC')"
+_NOISY = f"""
+select "ReadName", kind, case when kind = 3 then read else concat(substring(read, 1, p), case event_id % 3 when 0 then {_LEAD_BASE} when 1 then '' else concat({_LEAD_BASE}, substring(read, p + 1, 1)) end, substring(read, p + 2, 5000)) end as read,
+  case when event_id % 2 = 0 then translate(lab, 'T', 'A') else lab end as labels, case when kind = 3 then 22 when event_id % 3 = 1 then 21 when event_id % 3 = 2 then 23 else 22 end as lead
+from (select *, cast(event_id % 22 as int) as p, case when kind = 3 or event_id % 3 = 0 then labels when event_id % 3 = 1 then substring(labels, 2, 5000) else concat('5', labels) end as lab from ({{reads}}) where kind < 4)"""
+_FIRST_PIECE = "case when kind = 3 then substring(read, cast(length(read) - 21 as int), 22) else substring(read, 1, lead) end"
+
+
+@query(f"""
+with r as ({_NOISY.format(reads=ORACLE_READS)}), s as (select *, {_FIRST_PIECE} as piece, 'CTACACGACGCTCTTCCGATCT' as adapter, cast(position('A' in labels) as int) as a, cast(position('T' in labels) as int) as t from r)
+select "ReadName", 'valid' as architecture, case when kind = 3 then '-' else '+' end as orientation, cast(least(levenshtein(piece, adapter), levenshtein(piece, {RC.format("adapter")})) as int) as distance, case when a + t > 0 then greatest(a, t) - 1 end as tail_start from s""")
+def noisy_annotations(spark, sf_dir):
+    """First adapters with a base changed, lost or added, and tails labelled as either kind."""
+    rows = spark.sql(_NOISY.replace('"ReadName"', "ReadName").replace("{reads}", "{r}"), r=reads(spark, sf_dir)).select("ReadName", "read", "labels")
+    a = structure.annotate(rows, SEGMENTS)
+    return a.select("ReadName", "architecture", "orientation", F.get("5p_edit_dist", F.lit(0)).alias("distance"), F.get("polyT_Starts", F.lit(0)).alias("tail_start"))
+
+
+@query("""select event_id, cast(event_id % 50 as int) as first, [cast(event_id % 50 as int), cast(user_id as int)] as every from events where event_id % 4 > 0
+union all select event_id, null, [cast(user_id as int)] from events where event_id % 4 = 0""")
+def coordinate_text(spark, sf_dir):
+    """Coordinates as files have them: numbers with a fraction, spaces, and tokens that are none."""
+    text = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("x, "), F.col("user_id").cast("string"))).otherwise(F.concat((F.col("event_id") % 50).cast("string"), F.lit(".0, "), F.col("user_id").cast("string")))
+    return table(spark, sf_dir, "events").select("event_id", sq.first_int(text).alias("first"), sq.coordinates(text).alias("every"))
+
+
 # ---- barcodes
 
 _CORRECT = f"""
@@ -191,6 +217,28 @@ def barcode_correction(spark, sf_dir):
     return corrections(spark, sf_dir).drop("candidates")
 
 
+@query(f"""
+with o as (select event_id, case event_id % 9 when 0 then null when 1 then 'nan' when 2 then '' when 3 then 'None' else cbc end as seq from ({ORACLE_READS})), c as ({_CORRECT}), d as (select seq, count(*) as n from o group by 1)
+select d.seq, n, coalesce(corrected, 'NMF') as corrected, coalesce(min_dist, -1) as min_dist from d left join c on c.seq = d.seq""")
+def missing_barcodes(spark, sf_dir):
+    """Reads of which some have no barcode, in all the ways that files say so."""
+    e = F.col("event_id") % 9
+    seen = reads(spark, sf_dir).select(F.when(e == 0, F.lit(None)).when(e == 1, "nan").when(e == 2, "").when(e == 3, "None").otherwise(F.col("cbc")).alias("seq"))
+    fixed = barcodes.correct(seen, barcodes.whitelist_barcodes(whitelist(spark, sf_dir), "CBC"))
+    each = seen.groupBy("seq").agg(F.count("*").alias("n"))
+    return each.join(fixed.withColumnRenamed("seq", "s"), F.col("seq").eqNullSafe(F.col("s"))).select("seq", "n", "corrected", "min_dist")
+
+
+@query(f"""
+with o as (select distinct cbc as seq, {RC.format("cbc")} as rc from ({ORACLE_READS})), w as ({ORACLE_WHITE}), x as (select o.* from o left join w a on a.barcode = seq left join w b on b.barcode = rc where a.barcode is null and b.barcode is null)
+select seq, cast(min(least(levenshtein(seq, barcode), levenshtein(rc, barcode), 4)) as int) as min_dist from x, w group by 1""")
+def distant_barcodes(spark, sf_dir):
+    """Three edits: distances of the barcodes that are in no whitelist as they are."""
+    white = barcodes.whitelist_barcodes(whitelist(spark, sf_dir), "CBC")
+    fixed = barcodes.correct(reads(spark, sf_dir).select(F.col("cbc").alias("seq")), white, threshold=3)
+    return fixed.where("min_dist > 0").select("seq", "min_dist")
+
+
 _CELLS = f"""
 with c as ({_CORRECT}), w as ({ORACLE_WHITE}), r as ({ORACLE_READS})
 select "ReadName", c.corrected, coalesce(cast(place as varchar), 'ambiguous') as cell_id, case when place is null then 'Ambiguous' else 'Exact match' end as match_type, c.min_dist
@@ -216,7 +264,7 @@ def reads_per_cell(spark, sf_dir):
 
 @query("""
 with w as (select distinct s_suppkey % 40 as a, s_nationkey as b from supplier), n as (select cast(row_number() over (order by a, b) as bigint) as cell_id, cast(a as varchar) as a, cast(b as varchar) as b from w),
-o as (select distinct cast(l_suppkey % 40 as varchar) as a1, cast((l_suppkey + 1) % 40 as varchar) as a2, cast(l_partkey % 25 as varchar) as b1, l_linenumber > 5 as two from lineitem where l_orderkey % 50 = 0 or l_linenumber > 0),
+o as (select distinct cast(l_suppkey % 40 as varchar) as a1, cast((l_suppkey + 1) % 40 as varchar) as a2, cast(l_partkey % 25 as varchar) as b1, l_linenumber > 5 as two from lineitem),
 x as (select o.*, n.cell_id, cast(n.a = a1 or (two and n.a = a2) as int) + cast(n.b = b1 as int) as k from o, n),
 m as (select a1, b1, two, max(k) as k from x group by a1, b1, two), f as (select x.a1, x.b1, x.two, count(*) as c, min(cell_id) as cell_id from x join m on x.a1 = m.a1 and x.b1 = m.b1 and x.two = m.two and x.k = m.k where m.k > 0 group by x.a1, x.b1, x.two)
 select case when o.two then concat(o.a1, ',', a2) else o.a1 end as corrected_a, o.b1 as corrected_b, coalesce(cast(case when c = 1 then f.cell_id end as varchar), 'ambiguous') as cell_id from o left join f on f.a1 = o.a1 and f.b1 = o.b1 and f.two = o.two""")
@@ -245,6 +293,42 @@ def demux_records(spark, sf_dir):
     return barcodes.demux_records(done, ["CBC"], "fwd").select("ReadName", "demux_header", "demux_sequence", "demux_bucket")
 
 
+_QUAL = "translate(read, 'ACGT', '!5IF')"
+#: Half-open places of the segments of valid reads; reversed reads have them mirrored.
+_PLACES = f"""
+select *, {_QUAL} as bq, length(read) as size, 22 + o as c0, 22 + o + length(cbc) as u0, 34 + o + length(cbc) as t0, 34 + o + length(cbc) + length(tail) as d0, 34 + o + length(cbc) + length(tail) + length(cdna) as d1 from (select *, case when kind = 4 then 10 else 0 end as o from ({ORACLE_READS}) where kind < 5)"""
+
+
+def _slice(a: str, z: str, text: str) -> str:
+    return f"case when kind = 3 then substring({text}, cast(size - {z} + 1 as int), cast({z} - {a} as int)) else substring({text}, cast({a} + 1 as int), cast({z} - {a} as int)) end"
+
+
+def with_qualities(spark, sf_dir) -> DataFrame:
+    """Valid reads with a quality for every base."""
+    r = reads(spark, sf_dir).select("ReadName", "read", "labels", "cbc", F.expr(_QUAL).alias("base_qualities"))
+    return structure.valid_reads(structure.annotate(r, SEGMENTS))
+
+
+@query(f"""
+with p as ({_PLACES}), c as ({_CELLS}), x as (select p.*, c.corrected, c.cell_id, case when c.cell_id = 'ambiguous' then 'ambiguous' else c.corrected end as name, case when kind = 3 then '-' else '+' end as orientation from p join c on c."ReadName" = p."ReadName")
+select "ReadName", concat('@', "ReadName", '_', name, '_', umi, ' cell_id:', name, '|Barcodes:CBC:', corrected, '|UMI:', umi, '|orientation:', orientation, '|BQ:CBC:', {_slice("c0", "u0", "bq")}, ';UMI:', {_slice("u0", "t0", "bq")}) as demux_header,
+  concat(cdna, tail) as demux_sequence, concat({_slice("d0", "d1", "bq")}, {_slice("t0", "d0", "bq")}) as demux_quality, name as demux_bucket from x""")
+def demux_fastq(spark, sf_dir):
+    """FASTQ records named by barcodes, with qualities of barcode and UMI, tails appended."""
+    white = whitelist(spark, sf_dir)
+    done = barcodes.cells(barcodes.with_corrections(with_qualities(spark, sf_dir).withColumn("CBC_Sequences", F.col("cbc")), white, ["CBC"]), white)
+    return barcodes.demux_records(done, ["CBC"], "fwd", "fastq", True, True, True).select("ReadName", "demux_header", "demux_sequence", "demux_quality", "demux_bucket")
+
+
+@query(f"""with p as ({_PLACES}) select "ReadName", concat('@', "ReadName", ' orientation:', case when kind = 3 then '-' else '+' end) as header, {_slice("d0", "d1", "read")} as sequence, rpad(substring({_slice("d0", "d1", "bq")}, 1, cast(event_id % 300 as int)), cast(length(cdna) as int), '!') as quality from p""")
+def bulk_fastq(spark, sf_dir):
+    """FASTQ records of all valid reads; qualities that end early are filled up."""
+    r = with_qualities(spark, sf_dir)
+    number, start = F.regexp_extract("ReadName", "([0-9]+)", 1).cast("int"), F.get("cDNA_Starts", F.lit(0))
+    short = r.withColumn("base_qualities", F.substring("base_qualities", F.lit(1), start + number % 300))
+    return barcodes.bulk_records(short, "fastq").select("ReadName", "header", "sequence", "quality")
+
+
 @query(f"""select "ReadName", concat('>', "ReadName", ' orientation:', case when kind = 3 then '-' else '+' end) as header, case when kind = 3 then {RC.format("cdna")} else cdna end as sequence from ({ORACLE_READS}) where kind < 5""")
 def bulk_records(spark, sf_dir):
     return barcodes.bulk_records(structure.valid_reads(annotated(spark, sf_dir))).select("ReadName", "header", "sequence")
@@ -293,26 +377,44 @@ def near_duplicate_pairs(spark, sf_dir):
     return pairs.select(F.get("a", F.lit(0)).alias("a"), F.get("b", F.lit(0)).alias("b"))
 
 
-@query(f"""
-with recursive c as materialized (select *, row_number() over (order by read_count desc, "CBC") as o from ({_COUNTS})),
+_MERGE = """
+with recursive c as materialized (select *, row_number() over (order by read_count desc, "CBC") as o from ({counts})),
 q as (select a.o, list(b.o order by b.o) as nb from c a join c b on b.o < a.o and levenshtein(a."CBC", b."CBC") = 1 group by a.o),
 w as materialized (select o, coalesce(nb, []) as nb from c left join q using (o)),
 t as (select 0::bigint as o, []::bigint[] as canon, 0::bigint as target union all
   select w.o, case when len(list_intersect(w.nb, t.canon)) = 0 then list_append(t.canon, w.o) else t.canon end, coalesce(list_min(list_intersect(w.nb, t.canon)), w.o) from t join w on w.o = t.o + 1)
-select c."CBC", c.read_count, d."CBC" as canonical from t join c on c.o = t.o join c d on d.o = t.target""")
+select c."CBC", c.read_count, d."CBC" as canonical from t join c on c.o = t.o join c d on d.o = t.target"""
+
+
+@query(_MERGE.format(counts=_COUNTS))
 def merged_barcodes(spark, sf_dir):
     merged = discovery.merge_near(counts(spark, sf_dir), ["CBC"])
     return merged.select("CBC", "read_count", F.get("canonical", F.lit(0)).alias("canonical"))
 
 
-@query()
+_MERGED = _MERGE.format(counts=f"select a.* from ({_COUNTS}) a, ({_KNEE}) k where a.read_count >= k.threshold")
+
+
+def discovered(spark, sf_dir) -> dict[str, DataFrame]:
+    return discovery.discover(reads(spark, sf_dir).withColumn("CBC_Sequences", F.col("cbc")), ["CBC"], lengths={"CBC": 16})
+
+
+@query(f"""select row_number() over (order by reads desc, "CBC") as cell_id, "CBC", "CBC" as cell, reads from (select canonical as "CBC", cast(sum(read_count) as bigint) as reads from ({_MERGED}) group by 1)""")
 def discovered_whitelist(spark, sf_dir):
-    return discovery.discover(reads(spark, sf_dir).withColumn("CBC_Sequences", F.col("cbc")), ["CBC"], lengths={"CBC": 16})["whitelist"]
+    return discovered(spark, sf_dir)["whitelist"]
 
 
-@query()
+@query(f"""with m as ({_MERGED}), x as (select canonical, cast(sum(read_count) as bigint) as more from m where "CBC" <> canonical group by 1)
+select a."CBC", a.read_count + case when m.canonical = a."CBC" then coalesce(x.more, 0) else 0 end as read_count, case when m.canonical is null then 'below_knee' when m.canonical = a."CBC" then 'canonical' else concat('merged_into:', m.canonical) end as status
+from ({_COUNTS}) a left join m on m."CBC" = a."CBC" left join x on x.canonical = a."CBC" """)
 def barcode_statuses(spark, sf_dir):
-    return discovery.discover(reads(spark, sf_dir).withColumn("CBC_Sequences", F.col("cbc")), ["CBC"], lengths={"CBC": 16})["statuses"]
+    return discovered(spark, sf_dir)["statuses"]
+
+
+@query(f"""with a as ({_COUNTS}), m as ({_MERGED}), t as (select (select count(*) from a) as n, (select cast(sum(read_count) as bigint) from a) as r, (select count(*) from m) as above, (select count(distinct canonical) from m) as cells)
+select unnest(['unique_barcode_tuples_observed', 'total_reads_with_barcodes', 'CBC_unique_observed', 'tuples_above_knee', 'canonical_cells_after_merge', 'CBC_canonical']) as name, unnest([n, r, n, above, cells, cells]) as value from t""")
+def discovery_statistics(spark, sf_dir):
+    return discovered(spark, sf_dir)["statistics"]
 
 
 # ---- alignments
@@ -404,24 +506,34 @@ def duplicates_per_cell(spark, sf_dir):
     return qc.duplicates_per_cell(classes(spark, sf_dir))
 
 
+def crc32_sql(text: str) -> str:
+    """CRC-32 of ASCII text in SQL: eight shifts for each byte."""
+    bits = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)), lambda c, b: {bits}), 4294967295)"
+
+
 @query("with a as (" + _TAGGED.format(lineitem="lineitem") + ") select count(*) as reads, 1 - count(distinct concat(cb, '|', ub)) / count(*) as saturation from a where flag & 2304 = 0")
 def saturation_full(spark, sf_dir):
     return al.saturation(tagged(spark, sf_dir)).where("fraction = 1").select("reads", "saturation")
 
 
-@query()
+@query(f"""
+with a as ({_TAGGED.format(lineitem="lineitem")}), r as (select cb, ub, qname from a where flag & 2304 = 0), h as (select qname, {crc32_sql("concat('0:', qname)")} as h from (select distinct qname from r)),
+s as (select cb, ub, cast(ceil((h % 1000000 + 1) * 10 / 1000000.0::double) as int) as step from r join h using (qname)), n as (select step, count(*) as reads from s group by 1), f as (select step, count(*) as umis from (select min(step) as step from s group by cb, ub) group by 1),
+k as (select unnest(range(1, 11)) as step), t as (select k.step, sum(coalesce(reads, 0)) over (order by k.step) as reads, sum(coalesce(umis, 0)) over (order by k.step) as umis from k left join n using (step) left join f using (step))
+select step / 10.0::double as fraction, cast(reads as bigint) as reads, case when reads > 0 then round(1 - umis / reads, 9) else 0.0 end as saturation, round(reads / (select count(distinct cb) from r), 9) as reads_per_cell from t""")
 def saturation_curve(spark, sf_dir):
-    return al.saturation(tagged(spark, sf_dir))
+    return al.saturation(tagged(spark, sf_dir)).withColumn("saturation", F.round("saturation", 9)).withColumn("reads_per_cell", F.round("reads_per_cell", 9))
 
 
-@query("with a as (" + _TAGGED.format(lineitem="lineitem") + ") select count(*) as n_in, count(*) filter (flag & 1028 <> 0) as n_filtered, count(*) filter (flag & 1028 = 0 and cb is null) as n_no_tag, count(*) filter (flag & 1028 = 0 and cb is not null) as n_kept from a")
+@query("with a as (" + _TAGGED.format(lineitem="lineitem") + ") select count(*) as n_in, count(*) filter (flag & 1028 <> 0 or ord % 60 < 10) as n_filtered, count(*) filter (flag & 1028 = 0 and ord % 60 >= 10 and cb is null) as n_no_tag, count(*) filter (flag & 1028 = 0 and ord % 60 >= 10 and cb is not null) as n_kept from a")
 def split_counters(spark, sf_dir):
-    return al.split_counters(tagged(spark, sf_dir).withColumn("mapq", F.lit(30)))
+    return al.split_counters(tagged(spark, sf_dir).withColumn("mapq", F.col("ord") % 60), min_mapq=10)
 
 
-@query()
+@query("with a as (" + _TAGGED.format(lineitem="lineitem") + f"), b as (select cb, cast({crc32_sql('cb')} % 256 as int) as bucket from (select distinct cb from a)) select bucket, a.cb, count(*) as n from a join b on a.cb = b.cb where flag & 1028 = 0 and ord % 60 >= 10 group by 1, 2")
 def cell_buckets(spark, sf_dir):
-    kept = al.split_by_cell(tagged(spark, sf_dir).withColumn("mapq", F.lit(30)))
+    kept = al.split_by_cell(tagged(spark, sf_dir).withColumn("mapq", F.col("ord") % 60), min_mapq=10)
     return kept.groupBy("bucket", "cb").agg(F.count("*").alias("n"))
 
 
@@ -432,19 +544,29 @@ def gene_counts(spark, sf_dir):
     return al.gene_counts(al.with_name_parts(alignments(spark, sf_dir)).withColumn("cb", F.col("name_cb")), exons, width=200)
 
 
-@query("""with e as (select 'g' || cast(p_partkey as varchar) as gene_id, case when p_partkey % 2 = 0 then '+' else '-' end as strand, p_partkey * 1000 as a, p_partkey * 1000 + 60 + p_size as b, p_partkey * 1000 + 500 as c, p_partkey * 1000 + 500 + 70 as d from part where p_partkey <= 200),
+_BLOCKS = """select concat('q', cast(l_orderkey as varchar(20))) as qname, concat('c', cast(l_suppkey % 50 as varchar(20))) as cb, l_returnflag as rname, case when l_linenumber % 2 = 0 then '-' else '+' end as strand,
+  cast(l_partkey % 300 * 10 + k * 400 as bigint) as s, cast(l_partkey % 300 * 10 + k * 400 + 20 + cast(l_quantity as bigint) as bigint) as e from {lineitem}, {two}"""
+_FEATURES = "select r as rname, concat(r, cast(j as varchar(20))) as gene_id, case when j % 3 = 0 then '-' else '+' end as strand, cast(j * 70 as bigint) as fs, cast(j * 70 + 90 as bigint) as fe from {flags}, {numbers}"
+
+
+@query(f"""
+with b as ({_BLOCKS.format(lineitem="lineitem", two="(select unnest([0, 1]) as k)")}), g as ({_FEATURES.format(flags="(select unnest(['A', 'N', 'R']) as r)", numbers="(select unnest(range(0, 50)) as j)")}),
+h as (select distinct qname, cb, gene_id from b join g on b.rname = g.rname and b.strand = g.strand and s < fe and fs < e), o as (select qname, cb, min(gene_id) as gene_id from h group by 1, 2 having count(*) = 1) select gene_id, cb as cell_id, count(*) as count from o group by 1, 2""")
+def gene_counts_of_blocks(spark, sf_dir):
+    """Stranded counts of reads over one gene alone: a gene within a read's gap has no part of it."""
+    blocks = spark.sql(_BLOCKS, lineitem=table(spark, sf_dir, "lineitem"), two=spark.range(2).withColumnRenamed("id", "k")).withColumnsRenamed({"s": "start", "e": "end"})
+    flags = spark.createDataFrame([("A",), ("N",), ("R",)], "r string")
+    features = spark.sql(_FEATURES, flags=flags, numbers=spark.range(50).withColumnRenamed("id", "j")).withColumnsRenamed({"fs": "start", "fe": "end"})
+    return al.gene_counts(blocks, features, width=500, overlapping=False, stranded=True)
+
+
+@query("""with e as (select 'g' || cast(p_partkey as varchar) as gene_id, case when p_partkey % 2 = 0 then '+' else '-' end as strand, p_partkey * 1000 as a, p_partkey * 1000 + 60 + p_size as b, p_partkey * 1000 + 500 as c, p_partkey * 1000 + 500 + 70 as d from part),
 x as (select gene_id, strand, a, b - a as n1, c, d - c as n2 from e), p as (select gene_id, strand, unnest(range(0, 100)) as place, a, n1, c, n2 from x),
 o as (select *, cast(floor(place * (n1 + n2 - 1) / 99) as bigint) as off from p), q as (select gene_id, strand, place, case when off < n1 then a + off + 1 else c + off - n1 + 1 end as pos from o),
 u as (select gene_id, strand, pos, row_number() over (partition by gene_id order by case when strand = '-' then -pos else pos end) - 1 as percentile from (select distinct gene_id, strand, pos from q)),
-r as (select l_partkey * 1000 + l_linenumber * 10 as s, l_partkey * 1000 + l_linenumber * 10 + cast(l_quantity as bigint) * 12 as e from lineitem where l_partkey <= 200)
+r as (select l_partkey * 1000 + l_linenumber * 10 as s, l_partkey * 1000 + l_linenumber * 10 + cast(l_quantity as bigint) * 12 as e from lineitem)
 select cast(k as int) as percentile, count(r.s) as coverage from (select unnest(range(0, 100)) as k) left join u on u.percentile = k left join r on r.s < u.pos and u.pos <= r.e group by k""")
 def gene_body_coverage(spark, sf_dir):
-    """The first 200 genes alone, as the registered SQL has it; gene_body_coverage_all takes the whole tables."""
-    return _coverage(table(spark, sf_dir, "part").where("p_partkey <= 200"), table(spark, sf_dir, "lineitem").where("l_partkey <= 200"))
-
-
-@query(ORACLES["gene_body_coverage"].replace(" where p_partkey <= 200", "").replace(" where l_partkey <= 200", ""))
-def gene_body_coverage_all(spark, sf_dir):
     return _coverage(table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"))
 
 
@@ -598,6 +720,24 @@ def segment_lengths(spark, sf_dir):
     return qc.segment_lengths(reports(spark, sf_dir)[0])
 
 
+@query(_SPLIT + ", y as (select * from v where cell_id <> 'ambiguous'), w as (select 'CBC' as segment, cast(min_dist as bigint) as d from y union all select '5p', 0 from y union all select '3p', 0 from y) " + _box("select * from w", "segment", "d"))
+def distance_box_stats_demuxed(spark, sf_dir):
+    return qc.distance_box_stats(reports(spark, sf_dir)[0], True)
+
+
+@query(ORACLES["segment_lengths"].replace(", w as (select '5p'", ", v2 as (select * from v where cell_id <> 'ambiguous'), w as (select '5p'").replace(" from v union", " from v2 union").replace("fl from v)", "fl from v2)"))
+def segment_lengths_demuxed(spark, sf_dir):
+    return qc.segment_lengths(reports(spark, sf_dir)[0], True)
+
+
+@query(_SPLIT + """, x as (select ins as len, name, cell_id from v where ins > 0), s as (select max(len) as most from x),
+p as (select unnest([50, 100, 200, 500, 1000, 2000, 5000, 10000, 20000, 50000, 100000]) as nb), o as (select nb, most from p, s where most // nb >= 1), w as (select greatest(1, most // arg_min(nb, abs(nb - most / 100.0))) as w, greatest(1, max(most) // max(nb)) as f from o group by most),
+f as (select len // f * f as f0, w, name, cell_id from x, w)
+select cast(f0 // w * w + w // 2 as bigint) as bin_center, count(*) as total, count(*) filter (name like '%frag%') as split, count(*) filter (cell_id <> 'ambiguous') as demuxed, count(*) filter (cell_id = 'ambiguous') as ambiguous from f group by 1""")
+def insert_length_distribution(spark, sf_dir):
+    return qc.length_distribution(reports(spark, sf_dir)[0], None, 100, "cDNA_length").select("bin_center", "total", "split", "demuxed", "ambiguous")
+
+
 @query(f"""with t as (select count(*) filter (not is_dup) as u, count(*) filter (is_dup) as d from ({_LEAD})) select 'unique' as category, u as count, {_pct("u", "(u + d)")} as percent from t union all select 'duplicate', d, {_pct("d", "(u + d)")} from t""")
 def duplication_stats(spark, sf_dir):
     return qc.duplication_stats(al.duplicate_totals(al.mark_duplicates(alignments(spark, sf_dir))))
@@ -658,16 +798,27 @@ _PAIRS = "select event_id as id, concat(repeat('5', 4), repeat('C', cast(event_i
 
 def label_pairs(spark, sf_dir) -> DataFrame:
     rows = spark.sql(_PAIRS, events=table(spark, sf_dir, "events"))
-    return rows.select(F.split("truth", "").alias("truth"), F.split(F.substring("pred", 1, 30), "").alias("pred"))
+    return rows.select(F.split("truth", "").alias("truth"), F.split("pred", "").alias("pred"))
 
 
 @query("""
 with r as (""" + _PAIRS.format(events="events") + """), b as (select id, truth, pred, unnest(range(1, least(length(truth), length(pred)) + 1)) as k from r), c as (select substring(truth, k, 1) as t, substring(pred, k, 1) as p, count(*) as n from b group by 1, 2),
 l as (select t as label from c union select p from c), s as (select label, sum(case when t = label and p = label then n else 0 end) as tp, sum(case when p = label then n else 0 end) as pp, sum(case when t = label then n else 0 end) as support from l, c group by 1),
-q as (select label, case when pp > 0 then tp / pp else 0.0 end as pr, case when support > 0 then tp / support else 0.0 end as re, support from s)
-select label, round(pr, 4) as precision, round(re, 4) as recall, round(case when pr + re > 0 then 2 * pr * re / (pr + re) else 0.0 end, 4) as f1, cast(support as bigint) as support from q""")
+q as (select label, case when pp > 0 then tp / pp else 0.0 end as pr, case when support > 0 then tp / support else 0.0 end as re, support from s),
+m as (select label, round(pr, 4) as precision, round(re, 4) as recall, round(case when pr + re > 0 then 2 * pr * re / (pr + re) else 0.0 end, 4) as f1, cast(support as bigint) as support from q)
+select * from m union all select 'macro avg', round(avg(precision), 4), round(avg(recall), 4), round(avg(f1), 4), cast(sum(support) as bigint) from m
+union all select 'weighted avg', round(sum(precision * support) / sum(support), 4), round(sum(recall * support) / sum(support), 4), round(sum(f1 * support) / sum(support), 4), cast(sum(support) as bigint) from m""")
 def label_scores(spark, sf_dir):
-    return assess.label_scores(label_pairs(spark, sf_dir)).where("label not in ('macro avg', 'weighted avg')")
+    return assess.label_scores(label_pairs(spark, sf_dir))
+
+
+@query(f"""with c as (select unnest(['5p', 'CBC', 'UMI', 'polyT', 'cDNA', '3p']) as label, unnest(['5', 'C', 'U', 'T', 'D', '3']) as code)
+select kind, label, cast(sum(length(labels) - length(replace(labels, code, ''))) as bigint) as bases from ({ORACLE_READS}), c where kind < 5 group by 1, 2""")
+def rebuilt_labels(spark, sf_dir):
+    """Labels of every base from the coordinates of valid reads, counted."""
+    valid = structure.valid_reads(annotated(spark, sf_dir))
+    found = assess.labels_of(valid, ["5p", "CBC", "UMI", "polyT", "3p"]).join(valid.select("ReadName", "kind"), "ReadName")
+    return found.select("kind", F.explode("labels").alias("label")).groupBy("kind", "label").agg(F.count("*").alias("bases"))
 
 
 @query(f"""with r as ({ORACLE_READS}) select case when kind = 5 then 'concat' else 'single' end as structure_type, count(*) as n_reads, cast(sum(case when kind = 5 then 2 else 1 end) as bigint) as expected, cast(sum(case when kind < 5 then 1 when kind = 5 then 2 else 0 end) as bigint) as recovered, count(*) filter (kind < 6) as n_correct from r group by 1""")

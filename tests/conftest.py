@@ -7,13 +7,14 @@ os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[4]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "3g")
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -1,7 +1,9 @@
 """Read structure: runs, matches, flanks, fragments; simulated reads come back as they were made."""
 
 import random
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,31 +14,21 @@ FULL = ["5p", "CBC", "UMI", "polyT", "cDNA", "3p"]
 S = structure.Segments((("5p", "5"), ("CBC", "C"), ("UMI", "U"), ("polyT", "T"), ("cDNA", "D"), ("3p", "3"), ("polyA", "A")), (tuple(FULL), ("5p", "CBC", "UMI", "cDNA", "3p")), ("CBC",))
 
 
-def brute_find(labels, pattern):
-    """Windows compared one by one, as the definition says."""
-    a, z = 0, len(labels)
-    while a < z and labels[a] == "D":
-        a += 1
-    while z > a and labels[z - 1] == "D":
-        z -= 1
-    out, i = [], a
-    while i + len(pattern) <= z:
-        if labels[i : i + len(pattern)] == pattern:
-            out.append((i, i + len(pattern) - 1))
-            i += len(pattern)
-            while i < z and labels[i] == "D":
-                i += 1
-        else:
-            i += 1
-    return out
-
-
-def test_find_against_windows():
+def test_matches_have_what_the_definition_asks():
+    """Every match is the pattern, none overlap, and nothing between them holds another one."""
     rng = random.Random(3)
     for _ in range(3000):
         order = "".join(rng.choice("5CUTD3") for _ in range(rng.randrange(12)))
         pattern = "".join(rng.choice("5CD") for _ in range(rng.randrange(1, 4)))
-        assert structure.find(order, pattern, "D") == brute_find(order, pattern)
+        got = structure.find(order, pattern, "D")
+        flanks = re.fullmatch("(D*)(.*?)(D*)", order)
+        begin, end = flanks.end(1), flanks.start(3)
+        free = begin  # where the next match may start: after the last one and its inserts
+        for a, z in got:
+            assert order[a : z + 1] == pattern and a >= free and z < end
+            assert pattern not in order[free : z]  # none that ends before this one does
+            free = z + 1 + len(re.match("D*", order[z + 1 : end])[0])
+        assert pattern not in order[free:end]
 
 
 @pytest.mark.parametrize(("order", "valid", "orientation", "reason"), [
@@ -122,3 +114,33 @@ def test_every_transcript_can_be_drawn(spark, tmp_path):
     assert total == 150_000 and sorted(r.number for r in numbered.select("number").collect()) == list(range(total))
     assert [r.read[0] for r in numbered.where("number in (99999, 100000)").orderBy("number").collect()] == ["A", "G"]
     assert simulate.simulate(spark, [one], 5, transcripts=source.limit(0), seed=3).count() == 5
+
+
+def test_noise_has_its_rates():
+    rng = np.random.default_rng(5)
+    labels = ["5p"] * 20_000 + ["cDNA"] * 5_000 + ["polyT"] * 10_000
+    seq = "".join(rng.choice(list("ACGT"), len(labels)))
+    share = lambda read, marks, label: sum(m == label for m in marks) / labels.count(label)
+    read, marks = simulate.with_noise(rng, seq, labels, simulate.Noise(0, 0.2, 0, 0.1, 1))
+    assert len(read) == len(marks) and abs(share(read, marks, "5p") - 1.2) < 0.02 and share(read, marks, "cDNA") == 1
+    read, marks = simulate.with_noise(rng, seq, labels, simulate.Noise(0, 0.5, 0, 0, 3))
+    assert abs(share(read, marks, "5p") - (1 + 0.5 * (1 + 0.5 + 0.25))) < 0.03
+    read, marks = simulate.with_noise(rng, seq, labels, simulate.Noise(0, 0, 0.3, 0, 1))
+    assert abs(share(read, marks, "5p") - 0.7) < 0.02 and share(read, marks, "polyT") == 1
+    read, marks = simulate.with_noise(rng, seq, labels, simulate.Noise(0.25, 0, 0, 0, 1))
+    assert marks == labels and abs(np.mean([a != b for a, b in zip(read[:20_000], seq, strict=False)]) - 0.25) < 0.02 and read[20_000:] == seq[20_000:]
+    assert simulate.with_noise(rng, "", [], simulate.Noise()) == ("", [])
+
+
+def test_a_structure_may_have_its_own_insert_lengths(spark):
+    one = simulate.Structure("one", ("5p", "cDNA"), ("CTACACG", "NN"), length_range=(7, 9))
+    rows = simulate.simulate(spark, [one], 40, simulate.Noise(0, 0, 0, 0), simulate.Shape((100, 200), (0, 0)), seed=1).collect()
+    assert {len(r.read) - 7 for r in rows} == {7, 8}
+
+
+def test_cut_ends_are_no_inserts(spark):
+    rng = np.random.default_rng(2)
+    one = simulate.Structure("one", ("5p", "cDNA", "3p"), ("C" * 30, "NN", "G" * 30))
+    shape = simulate.Shape((50, 60), (0, 0), 10, 20)
+    sizes = [(m.count("5p"), m.count("3p"), m.count("cDNA")) for _, m in (simulate.assemble(rng, one, shape, lambda n: "A" * n) for _ in range(300))]
+    assert {a for a, _, _ in sizes} == set(range(20, 31)) and {b for _, b, _ in sizes} == set(range(10, 31)) and {c for *_, c in sizes} <= set(range(50, 60))
