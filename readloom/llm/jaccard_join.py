@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,16 @@ from pyspark.sql import functions as F
 from . import textbatch as tb
 from .store import cut
 
-SHINGLE, RUNS, SAMPLES, AGREE = 5, 8, 32, 10
+SHINGLE, SAMPLES, AGREE = 5, 32, 10
 LEAF, FAN, DEPTH, BLOCK = 4000, 6, 2, 512
 #: Similarity as a fraction, for exact comparison in integers.
 NUMERATOR, DENOMINATOR = 4, 5
-#: Bits of the filter that picks candidate sets in the second scan: 8 MB at the driver and at each worker at most.
-FILTER_BITS = 1 << 26
+#: Runs are repeated until all of them miss a pair of just that similarity with no more than this probability.
+MISS = 1e-5
+RUNS = math.ceil(math.log(MISS) / math.log(1 - NUMERATOR / DENOMINATOR))
+#: Bits for each candidate set of the filter that picks candidates in the second scan, and its bits at least and at most: 128 MB
+#: at the driver and at each worker. Beyond, it lets more through, which the join after it takes out.
+BITS_A_SET, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 30
 
 _A = np.random.Generator(np.random.PCG64(77)).integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -91,7 +96,7 @@ def _sets(bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         for _, _, buf, offs in tb.slices(b.column(0)):
             key, bound = shingles(buf, offs)
             one, two = (x.view(np.int64) for x in _identity(key, bound))
-            at = one & (FILTER_BITS - 1)
+            at = one & (8 * len(bits) - 1)
             rows = []
             for d in np.flatnonzero((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).tolist():
                 name = (int(one[d]), int(two[d]))
@@ -145,12 +150,12 @@ def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     col = place[col[many[col]]]
     order = np.argsort(col, kind="stable")
     row, col = row[order], col[order]
-    both = np.zeros((len(rows),) * 2, np.float32)
+    both = np.zeros((len(rows),) * 2)
     for lo in range(0, width, 4096):
         a, b = np.searchsorted(col, [lo, lo + 4096])
         x = np.zeros((len(rows), min(4096, width - lo)), np.float32)
         x[row[a:b], col[a:b] - lo] = 1
-        both += x @ x.T  # exact: whole numbers under 2 ** 24
+        both += x @ x.T  # 4096 columns at most: exact in 32 bits, and so are the sums in 64
     return np.rint(both[np.searchsorted(rows, i), np.searchsorted(rows, j)]).astype(np.int64)
 
 
@@ -182,27 +187,29 @@ def _links(t: pa.Table) -> pa.Table:
 
 
 def _filter_bits(candidates: DataFrame) -> np.ndarray:
-    at = candidates.select((F.col("k1").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1).alias("at"))
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_SET * candidates.count()).bit_length()))
+    at = candidates.select((F.col("k1").bitwiseAND(F.lit(size - 1)) + 1).alias("at"))
     rows = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for r in rows:
         lo = (r.bucket - 1) * 4096
         out[lo : lo + 4096] = np.frombuffer(r.bits, np.uint8)
     return out
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """rid and label of every end of the edges (a, b): the smallest rid of its component.
 
-    Each round takes the smallest label among a vertex, its neighbours and its label's own label, and writes it.
+    Each round takes the smallest label among a vertex, its neighbours and its label's own label, and writes it. rows: about
+    how many edges there are at most.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges", few=True)
-    labels = cut(both.groupBy(F.col("a").alias("rid")).agg(F.least(F.col("rid"), F.min("b")).alias("label")), "labels", few=True)
+    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges", rows and 2 * rows)
+    labels = cut(both.groupBy(F.col("a").alias("rid")).agg(F.least(F.col("rid"), F.min("b")).alias("label")), "labels", rows)
     while True:
         near = both.join(labels, both.b == labels.rid).groupBy(F.col("a").alias("rid")).agg(F.min("label").alias("near"))
         step = labels.join(near, "rid").select("rid", F.least("label", "near").alias("new"), F.col("label").alias("old"))
         up = labels.select(F.col("rid").alias("new"), F.col("label").alias("up"))
-        labels = cut(step.join(up, "new", "left").select("rid", F.least("new", "up").alias("label"), "old"), "labels", few=True)
+        labels = cut(step.join(up, "new", "left").select("rid", F.least("new", "up").alias("label"), "old"), "labels", rows)
         if not labels.where("label != old").limit(1).count():
             return labels.select("rid", "label")
 
@@ -235,11 +242,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Texts without words are in no class and all stay.
     """
     held = cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "documents")
-    rows = cut(_classes(held.select("doc_id", "text", "__uid"), ("__uid",)).where("__class is not null").select("__class", "doc_id", "__uid"), "rows", few=True)
+    many = held.count()
+    rows = cut(_classes(held.select("doc_id", "text", "__uid"), ("__uid",)).where("__class is not null").select("__class", "doc_id", "__uid"), "rows", many)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__uid")).alias("first")
-    several = cut(rows.groupBy("__class").agg(first, F.count("*").alias("n")).where("n > 1").select("__class", F.col("first.__uid").alias("__first")), "first-rows", few=True)
+    several = cut(rows.groupBy("__class").agg(first, F.count("*").alias("n")).where("n > 1").select("__class", F.col("first.__uid").alias("__first")), "first-rows", many)
     gone = rows.join(several, "__class").where("__uid != __first").select("__uid")
-    return held.join(cut(gone, "gone", few=True), "__uid", "left_anti").select(*docs.columns)
+    return held.join(cut(gone, "gone", many), "__uid", "left_anti").select(*docs.columns)
 
 
 def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -247,9 +255,10 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     docs = docs.select(*keep, F.col("doc_id").cast("long").alias("doc_id"), "text")
     own = ", ".join(f"{c} {t}" for c, t in docs.dtypes[:-1])
     sketch = cut(docs.mapInArrow(lambda batches: tb.tidy(_sketch(batches)), own + ", k1 long, k2 long, n long, sig array<int>"), "sketches")
+    many = sketch.count()  # rows of the tables below are in proportion to it
     worded = sketch.where("n > 0")
     sets = worded.groupBy("k1", "k2", "n", "sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    sets = cut(sets.withColumn("rid", F.monotonically_increasing_id()), "sets", few=True)
+    sets = cut(sets.withColumn("rid", F.monotonically_increasing_id()), "sets", many)
 
     # buckets of the runs; those whose sets all met in an earlier run have nothing to add
     run = F.posexplode(F.transform(F.slice("sig", 1, RUNS), lambda v, k: F.xxhash64(k, v))).alias("run", "path")
@@ -259,18 +268,18 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     nodes = in_runs.groupBy("path", "run").agg(F.count("*").alias("size"), *stats).where("size > 1")
     for m in met:
         nodes = nodes.where(~m)
-    nodes = cut(nodes.select("path", F.expr("shiftleft(1L, run) - 1").alias("forbid"), "size"), "buckets", few=True)
+    nodes = cut(nodes.select("path", F.expr("shiftleft(1L, run) - 1").alias("forbid"), "size"), "buckets", RUNS * many)
     level = in_runs.select("rid", "path").join(nodes, "path")
-    level = cut(level.join(sets.select("rid", "n", "copies", "sig"), "rid"), "members", few=True)
+    level = cut(level.join(sets.select("rid", "n", "copies", "sig"), "rid"), "members", RUNS * many)
     leaves = []
     for depth in range(DEPTH + 1):
         leaves.append(level.where(F.col("size") <= LEAF) if depth < DEPTH else level)
         large = level.where(F.col("size") > LEAF)
         if depth == DEPTH or not large.limit(1).count():
             break
-        split = cut(_paths(large, depth), "split", few=True)
-        size = cut(split.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "buckets", few=True)
-        level = cut(split.join(size, "path"), "members", few=True)
+        split = cut(_paths(large, depth), "split", RUNS * many)
+        size = cut(split.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "buckets", RUNS * many)
+        level = cut(split.join(size, "path"), "members", RUNS * many)
     columns = ["path", "forbid", "size", "rid", "n", "copies", "sig"]
     members = leaves[0].select(*columns)
     for more in leaves[1:]:
@@ -285,18 +294,18 @@ def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
     # shingles of the candidates, from a second scan that a filter of fixed size keeps small
     wanted = sets.select("rid", "k1", "k2").join(chosen.select("rid").distinct(), "rid")
-    wanted = cut(wanted, "wanted", few=True)
+    wanted = cut(wanted, "wanted", many)
     bits = _filter_bits(wanted)
     found = docs.select("text").mapInArrow(lambda batches: tb.tidy(_sets(bits, batches)), "k1 long, k2 long, shingles binary").dropDuplicates(["k1", "k2"])
     found = cut(wanted.join(found, ["k1", "k2"]).select("rid", "shingles"), "shingles")
     links = cut(chosen.join(found, "rid").groupBy("path", "ta", "tb").applyInArrow(_links, _LINK_SCHEMA), "links")
 
     degree = links.groupBy("rid").agg(F.sum("texts").alias("texts"), F.sum("partners").alias("partners"))
-    label = components(links.where("rid != root").select(F.col("rid").alias("a"), F.col("root").alias("b")))
+    label = components(links.where("rid != root").select(F.col("rid").alias("a"), F.col("root").alias("b")), RUNS * many)
     named = sets.select("k1", "k2", "rid", "rep", "copies").join(degree, "rid", "left").join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-    named = cut(named, "named", few=True)
-    least = cut(named.groupBy("label").agg(F.min("rep").alias("least")), "least", few=True)
-    named = cut(named.join(least, "label").select(F.col("label").alias("__class"), "k1", "k2", F.coalesce("least", -1 - F.col("label")).alias("class_id"), (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_texts"), F.col("copies").alias("n_copies")), "classes", few=True)
+    named = cut(named, "named", many)
+    least = cut(named.groupBy("label").agg(F.min("rep").alias("least")), "least", many)
+    named = cut(named.join(least, "label").select(F.col("label").alias("__class"), "k1", "k2", F.coalesce("least", -1 - F.col("label")).alias("class_id"), (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_texts"), F.col("copies").alias("n_copies")), "classes", many)
     out = worded.select(*keep, "doc_id", "k1", "k2").join(named, ["k1", "k2"]).drop("k1", "k2")
     none = sketch.where("n = 0").select(*keep, "doc_id", F.lit(None).cast("long").alias("__class"), F.coalesce("doc_id", F.lit(-1)).alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_texts"), F.lit(1).cast("long").alias("n_copies"))
     return out.unionByName(none)

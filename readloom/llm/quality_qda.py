@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import features as ft
 from . import textbatch as tb
-from .sampling import fold, labelled
+from .sampling import bounded, fold, labelled
 
 
 def statistics(c: np.ndarray) -> np.ndarray:
@@ -86,15 +86,15 @@ def fit(x: np.ndarray, y: np.ndarray, **how):
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo, hi, buf, offs in tb.slices(b.column(0)):
-            yield pa.RecordBatch.from_arrays([pa.array(list(statistics(ft.counts(buf, offs))), pa.list_(pa.float64())), b.column(1).slice(lo, hi - lo)], names=["x", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(statistics(ft.counts(buf, offs))), pa.list_(pa.float64())), *(b.column(k).slice(lo, hi - lo) for k in (1, 2))], names=["x", "label", "key"])
 
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", mod: int = 4, held: int = 2, limit: int = 20000, **how):
-    """Fit on at most `limit` labelled documents outside the held-out fold (twice that many rows if ids repeat).
+    """Fit on at most `limit` labelled documents outside the held-out fold; equal texts count once, with their largest label.
 
     Without two rows of each label the score is the share of label 1, or 0.5 without any.
     """
-    rows = labelled(docs, labels, column, limit, mod, held).select("text", "label").mapInArrow(lambda batches: tb.tidy(_rows(batches)), "x array<double>, label int").limit(2 * limit).collect()
+    rows = bounded(labelled(docs, labels, column, limit, mod, held).select("text", "label", "key").mapInArrow(lambda batches: tb.tidy(_rows(batches)), "x array<double>, label int, key long"), limit)
     return fit(np.array([r.x for r in rows]).reshape(len(rows), -1) if rows else np.zeros((0, 1)), np.array([r.label for r in rows], float), **how)
 
 

@@ -100,7 +100,7 @@ def _judged(scanned: DataFrame) -> DataFrame:
     """
     one = scanned.where(F.size("__spans") > 0).select("__uid", "__owner", F.explode("__spans").alias("s")).select("__uid", "__owner", "s.*")
     owned = one.select("hash", "__owner").distinct().groupBy("hash").agg(F.count("*").alias("owners"))
-    copied = cut(owned.where(F.col("owners") > OWNERS), "secret-owners", few=True)
+    copied = cut(owned.where(F.col("owners") > OWNERS), "secret-owners")
     seen = one.join(copied, "hash", "left").withColumn("copied", F.col("owners").isNotNull())
     rows = seen.groupBy("__uid").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "stop", "copied"))).alias("__every"))
     example = lambda s: (s["rank"] == len(KINDS) - 1) & s["copied"]

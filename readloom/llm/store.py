@@ -15,9 +15,9 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def cut(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     small_batches(df.sparkSession)
-    return lineage.cut(df, name, few)
+    return lineage.cut(df, name, rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from . import features as ft
 from . import textbatch as tb
 from .boosting import fit_scores
-from .sampling import fold, labelled
+from .sampling import bounded, fold, labelled
 from .store import cut
 
 #: Insults, threats and contempt in English, French, German and Spanish.
@@ -51,8 +51,6 @@ NEAR = 5
 
 #: Parts of the sample, letters in a beginning, and what a learnt term needs: toxic rows with it, and their share of all rows with it.
 PARTS, STEM, LEAST_ROWS, LEAST_SHARE = 5, 4, 5, 0.8
-#: Terms that come to the driver at most, those in most toxic rows first.
-TERMS = 20000
 
 NAMES = ["insults", "insult_density", "any_insult", "distinct_insults", "near_second", "second_density", "obfuscated", "spelt", "bangs", "stars_in_words", "learnt", "learnt_density", "learnt_distinct"]
 
@@ -157,26 +155,32 @@ def _feature_batches(learnt: list[np.ndarray], batches: Iterator[pa.RecordBatch]
             for k in np.unique(part):
                 rows = feature_matrix(buf, offs, learnt[k])
                 x = rows if not x.size else np.where((part == k)[:, None], rows, x)
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), b.column(1).slice(lo, hi - lo)], names=["x", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), *(b.column(k).slice(lo, hi - lo) for k in (1, 3))], names=["x", "label", "key"])
 
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", mod: int = 5, held: int = 0, limit: int = 20000, **how) -> Model:
     """Fit on at most `limit` labelled documents outside the held-out fold; equal texts count once, with their largest label.
 
-    The sample is written to the shared folder; its features, some 30 numbers a row, and the TERMS most frequent
-    learnt terms come to the driver. Without rows of both labels the score is the share of label 1, or 0.
+    The sample is written to the shared folder; its features, some 30 numbers a row, and its learnt terms come to the
+    driver: every term that one of the lexicons holds, of which a sample of bounded rows has few. Rows are taken in order
+    of a hash of their text, so the model does not depend on files or partitions. Without rows of both labels the score is
+    the share of label 1, or 0.
     """
-    rows = labelled(docs, labels, column, limit, mod, held).groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(F.max("label").alias("label"))
-    sample = cut(rows.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int")).limit(limit), "toxic-sample")
+    rows = labelled(docs, labels, column, limit, mod, held).groupBy("key", "text").agg(F.max("label").alias("label"))
+    part = F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int")
+    sample = cut(rows.orderBy("key", "text").limit(limit).select("text", "label", part.alias("part"), "key"), "toxic-sample")
     names = [f"c{k}" for k in range(2 * PARTS)]
     found = sample.mapInArrow(lambda batches: tb.tidy(_term_batches(batches)), "term long, " + ", ".join(f"{c} long" for c in names)).groupBy("term").agg(*(F.sum(c).alias(c) for c in names))
-    toxic = sum((F.col(c) for c in names[:PARTS]), F.lit(0))
-    kept = found.where((toxic >= LEAST_ROWS) & (2 * toxic >= sum((F.col(c) for c in names[PARTS:]), F.lit(0)))).orderBy(toxic.desc(), "term").limit(TERMS).collect()
+    of = lambda k, out: sum((F.col(c) for j, c in enumerate(names[k : k + PARTS]) if j != out), F.lit(0))
+    wanted = F.lit(False)
+    for out in range(PARTS + 1):  # the lexicons without a part, and the whole one
+        wanted |= (of(0, out) >= LEAST_ROWS) & (of(0, out) >= LEAST_SHARE * of(PARTS, out))
+    kept = found.where(wanted).collect()
     term = np.array([r.term for r in kept], np.int64).view(np.uint64)
     c = np.array([tuple(r)[1:] for r in kept], np.int64).reshape(len(kept), 2, PARTS)
     every = _lexicon(term, c[:, 0].sum(1), c[:, 1].sum(1))
     learnt = [_lexicon(term, c[:, 0].sum(1) - c[:, 0, k], c[:, 1].sum(1) - c[:, 1, k]) for k in range(PARTS)]
-    got = sample.mapInArrow(lambda batches: tb.tidy(_feature_batches(learnt, batches)), "x array<double>, label int").collect()
+    got = bounded(sample.mapInArrow(lambda batches: tb.tidy(_feature_batches(learnt, batches)), "x array<double>, label int, key long"), limit)
     x = np.array([r.x for r in got]).reshape(len(got), -1) if got else np.zeros((0, 1))
     return Model(every, fit_scores(x, np.array([r.label for r in got], float), **how))
 
@@ -205,6 +209,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, limit: int = 20000, threshold:
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents, all columns, whose score is under the threshold."""
+    """The documents, all columns, whose score is under the threshold.
+
+    Null and empty texts have the score of their features and stay where that is low. Repeated rows stay or go together. Long
+    texts are read whole. Any column names may be there; only text is read. An empty table gives an empty one; without labels of
+    both kinds all stay, or all go if every label is 1.
+    """
     out = _scored(docs, train(docs, labels)).where(F.col("score") < threshold)
     return out.drop("score").toDF(*docs.columns)

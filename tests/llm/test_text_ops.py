@@ -289,3 +289,78 @@ def test_run_hash_equals_for_equal_words_only():
     h = tb.run_hash(buf, r)
     assert len(set(h.tolist())) == len(words) and (h[: len(words)] == h[len(words) :]).all()
     assert [tb.word_hash(w) for w in words] == h[: len(words)].tolist()
+
+
+def test_learning_does_not_depend_on_the_order_of_rows(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    docs = docs.unionByName(docs.where("doc_id < 50")).unionByName(docs.where("doc_id < 9").withColumn("text", docs.source))  # repeated ids, with other texts too
+    turned, other = docs.repartition(5, docs.n_chars).sortWithinPartitions(docs.n_chars.desc()), labels.orderBy(labels.doc_id.desc())
+    for run in (toxicity.toxicity, quality_rules.quality_rules, quality_qda.quality):
+        assert rows_of(run(docs, labels)) == rows_of(run(turned, other))
+
+
+def plain_paths(x, forest):
+    """Mean path lengths, a row and a tree at a time."""
+    out = []
+    for row in x.tolist():
+        total = 0.0
+        for feature, cut, path in forest.at:
+            node = 1
+            while node < len(cut) and not np.isnan(cut[node]):
+                node = 2 * node + (row[feature[node]] > cut[node])
+            total += path[node]
+        out.append(total / len(forest.at))
+    return np.array(out)
+
+
+def test_forest_against_plain_walks_and_sizes():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 4))
+    forest = quality_rules.Forest(trees=20, sample=64).fit(x)
+    probe = np.concatenate([x[:50], 6 + rng.normal(size=(20, 4))])
+    assert np.allclose(forest.anomaly(probe), 2.0 ** (-plain_paths(probe, forest) / forest.scale))
+    assert forest.anomaly(probe)[50:].min() > np.median(forest.anomaly(probe)[:50])
+
+
+def test_discriminant_against_plain_densities():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(300, 3)) @ np.diag([1, 2, 0.5]), rng.normal(size=(200, 3)) + [1, -1, 0.5]])
+    y = np.repeat([0, 1], [300, 200])
+    m = quality_qda.Discriminant().fit(x, y)
+    z = np.clip((x - x.mean(0)) / (x.std(0) + 1e-6), -8, 8)
+    cov = [np.cov(z[y == k].T) for k in (0, 1)]
+    pooled = (300 * cov[0] + 200 * cov[1]) / 500
+    log = []
+    for k in (0, 1):
+        c = 0.8 * cov[k] + 0.2 * pooled
+        c = 0.9 * c + 0.1 * np.diag(np.diag(pooled)) + 1e-3 * np.eye(3)
+        diff = z - z[y == k].mean(0)
+        log.append(np.log((y == k).mean()) - np.einsum("ij,jk,ik->i", diff, np.linalg.inv(c), diff) / 2 - np.log(np.linalg.det(c)) / 2)
+    assert np.allclose(m.difference(x), log[1] - log[0])
+
+
+def test_boosted_trees_against_a_plain_walk_and_a_rule():
+    rng = np.random.default_rng(4)
+    x = rng.random((2000, 5))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    m = boosting.Boosted(trees=30).fit(x, y)
+    want = []
+    for row in x[:200]:
+        f = m.base
+        for feature, cut, leaf in zip(m.feature, m.cut, m.leaf, strict=True):
+            node = 0
+            for level in range(m.depth):
+                node = 2 * node + int(row[feature[level][node]] > cut[level][node])
+            f += leaf[node]
+        want.append(f)
+    assert np.allclose(m.raw(x[:200]), want) and ((m.raw(x) > 0) == (y == 1)).mean() > 0.97
+
+
+def test_quality_rules_on_labelled_rows_left_out_of_the_fit(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    out = "crc32(cast(doc_id as string)) % 3 = 0"
+    rows = quality_rules.quality_rules(docs, labels.where(f"not {out}")).join(labels.where(out), "doc_id").where("not base_failed").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert np.mean(good) > 0.98 and np.mean(bad) < 0.05, (len(good), np.mean(good), len(bad), np.mean(bad))
