@@ -40,3 +40,42 @@ def test_few_rows(spark):
     assert got(spark, [(20, [1.0])], 20, 20) == []
     rows = [(0, [1.0, -1.0]), (1, [0.5, 0.5]), (2, [-1.0, -1.0])]
     assert got(spark, rows, 20, 20) == brute(rows, 20, 20)
+
+
+def blocks_of(v, order, size):
+    """Blocks as the tasks have them."""
+    import pyarrow as pa
+
+    rows = [pa.RecordBatch.from_arrays([pa.array(order), pa.array([[int(c) for c in v[i]] for i in order], pa.list_(pa.int64())), pa.array(order)], names=["vec_id", "v", "uid"])]
+    return list(topk._blocks(iter(rows)))
+
+
+@pytest.mark.parametrize("spread", [0.05, 0.2])
+def test_most_blocks_of_clustered_vectors_are_skipped(monkeypatch, spread):
+    """Over half of the pairs of a query and a block are never scored, and the result is that of all scores."""
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    rng = np.random.default_rng(9)
+    middles = rng.normal(size=(40, 16))
+    middles /= np.linalg.norm(middles, axis=1)[:, None]
+    v = np.floor(64 * (middles[np.arange(2000) % 40] + spread * rng.normal(size=(2000, 16)) / 4)).astype(np.int64)
+    cell = topk.nearest(v.astype(float), topk.centres(v[rng.choice(2000, 500, replace=False)]))
+    order = np.lexsort((np.arange(2000), cell)).tolist()
+    q = np.arange(0, 2000, 20)
+    task = topk._Search(topk.Group(q, q, v[q]), 20)
+    list(topk._search(task, False, iter(blocks_of(v, order, 50))))
+    assert task.pairs == 100 * 40 and task.scored < 0.5 * task.pairs
+    by = v[q] @ v.T
+    for n, i in enumerate(q):
+        best = sorted((-s, j) for j, s in enumerate(by[n].tolist()) if j != i)[:20]
+        assert list(zip((-task.score[n]).tolist(), task.id[n].tolist(), strict=True)) == best
+    plain = topk._Search(topk.Group(q, q, v[q]), 20)
+    list(topk._search(plain, False, iter(blocks_of(v, list(range(2000)), 50))))
+    assert (plain.score == task.score).all() and (plain.id == task.id).all() and plain.scored > task.scored
+
+
+def test_bounds_hold_for_every_vector():
+    rng = np.random.default_rng(10)
+    for scale in (1, 100, 1 << 22):
+        m, q = (rng.normal(size=(60, 9)) * scale).astype(np.int64), (rng.normal(size=(30, 9)) * scale).astype(np.int64)
+        task = topk._Search(topk.Group(np.arange(30), np.arange(30), q), 5)
+        assert (task.bounds(m) >= (q @ m.T).max(1)).all()
