@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. All but the last return the columns of
 documents; the last returns the pieces of the packed sequences.
+
+What becomes of odd rows: null and empty texts have no words, so the first stage rejects them; stages called alone keep them (in
+packing they are one piece, the end alone). Repeated rows pass the first two stages together, then one of them stays. Long texts are
+read whole everywhere. Null ids, sources and labels, and columns with any names, change nothing. Empty tables give empty ones.
 """
 
 from __future__ import annotations

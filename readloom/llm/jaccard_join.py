@@ -239,15 +239,18 @@ def join(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents, all columns, one of each class: the smallest doc_id (null last), of repeated ids any one row.
 
-    Texts without words are in no class and all stay.
+    Texts without words (null, empty) are in no class and all stay. Long texts are compared whole. Any column names may be there;
+    only doc_id and text are read. An empty table gives an empty one. Runs jobs: the rows and what is found are written.
     """
-    held = cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "documents")
+    names, own = docs.columns, [f"k{n}" for n in range(len(docs.columns))]
+    held = cut(docs.toDF(*own).withColumn("uid", F.monotonically_increasing_id()), "documents")
     many = held.count()
-    rows = cut(_classes(held.select("doc_id", "text", "__uid"), ("__uid",)).where("__class is not null").select("__class", "doc_id", "__uid"), "rows", many)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__uid")).alias("first")
-    several = cut(rows.groupBy("__class").agg(first, F.count("*").alias("n")).where("n > 1").select("__class", F.col("first.__uid").alias("__first")), "first-rows", many)
-    gone = rows.join(several, "__class").where("__uid != __first").select("__uid")
-    return held.join(cut(gone, "gone", many), "__uid", "left_anti").select(*docs.columns)
+    of = lambda name: F.col(own[names.index(name)]).alias(name)
+    rows = cut(_classes(held.select(of("doc_id"), of("text"), "uid"), ("uid",)).where("__class is not null").select("__class", "doc_id", "uid"), "rows", many)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("first")
+    several = cut(rows.groupBy("__class").agg(first, F.count("*").alias("n")).where("n > 1").select("__class", F.col("first.uid").alias("kept")), "first-rows", many)
+    gone = rows.join(several, "__class").where("uid != kept").select("uid")
+    return held.join(cut(gone, "gone", many), "uid", "left_anti").select(*own).toDF(*names)
 
 
 def _classes(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:

@@ -83,3 +83,21 @@ def test_groups_of_near_copies(spark, monkeypatch, leaf, block):
 def test_no_rows(spark):
     assert got(spark, []) == []
     assert got(spark, [(4, None)]) == [(4, 4, 0, 0)]
+
+
+def test_one_row_of_each_class_whatever_the_columns_are_named(spark):
+    names = "`__uid` long, `__class` string, uid long, kept long, k0 long, doc_id long, text string, rid long"
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, "a", 2, 3, 4, 9, text, 5), (1, "b", 2, 3, 4, 7, text.upper(), 5), (1, "c", 2, 3, 4, None, text, 5), (0, "d", 0, 0, 0, 3, None, 0), (0, "e", 0, 0, 0, 3, None, 0), (None,) * 8]
+    out = jaccard_join.deduplicate(spark.createDataFrame(rows, names))
+    assert out.columns == [c.split()[0].strip("`") for c in names.split(", ")]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([rows[1], *rows[3:]], key=repr)
+
+
+def test_recall_of_buckets_that_are_split(spark, monkeypatch):
+    """A cluster of pairs around the threshold, in buckets far over LEAF: links lost against all pairs."""
+    monkeypatch.setattr(jaccard_join, "LEAF", 25)
+    rows = list(enumerate(near_copies(400, 100, 7, 5)))
+    want, have = brute(rows), got(spark, rows)
+    found, every = sum(h[2] for h in have), sum(w[2] for w in want)
+    assert [h[1] for h in have] == [w[1] for w in want] and every > 10_000 and found >= 0.999 * every

@@ -367,3 +367,34 @@ def test_quality_rules_on_labelled_rows_left_out_of_the_fit(spark):
     rows = quality_rules.quality_rules(docs, labels.where(f"not {out}")).join(labels.where(out), "doc_id").where("not base_failed").collect()
     good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.05, (len(good), np.mean(good), len(bad), np.mean(bad))
+
+
+def test_a_text_with_very_many_secrets(spark):
+    """200 000 matches in one text of some megabytes: places by plain regular expressions, all masked."""
+    text = " ".join(f"é token=abcdef{k} {'0f' * 13} x" if k % 2 else f"AKIA{'A' * 16} y{k}" for k in range(100_000))
+    docs = spark.createDataFrame([(1, text, "s"), (2, None, None)], "doc_id long, text string, source string")
+    start = time.time()
+    got = {r.doc_id: r for r in secrets.secrets(docs).collect()}
+    want = brute_spans(text)
+    assert got[1].n_assign + got[1].n_access + got[1].n_hex == len(want) == 150_000
+    assert got[1].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in want).encode()).hexdigest()
+    assert time.time() - start < 120
+
+
+def test_redaction_with_clashing_names_and_without_owners(spark):
+    names = ["__uid", "__owner", "__t", "__found", "__all", "__kept", "text", "hash", "start", "k0", "doc_id"]
+    rows = [(1, "a", "b", 2, 3, 4, "x secret=abcdefgh y", "h", 5, 6, 7), (None,) * 11]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{n}` {'string' if n in ('__owner', '__t', 'text', 'hash') else 'long'}" for n in names))
+    out = secrets.redact(docs)
+    assert out.columns == names
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, "a", "b", 2, 3, 4, "x [SECRET] y", "h", 5, 6, 7), (None,) * 11], key=repr)
+    assert [r.spans for r in secrets.secrets(docs).collect() if r.doc_id] == ["assign:2:17"]
+
+
+@pytest.mark.parametrize(("text", "masked"), [
+    ("https://me:" + "p" * 200 + "@host/x", "http[SECRET]host/x"), ("averyveryverylongschemename.x+y://u" + "u" * 300 + ":pass@h", "averyveryverylongschemename.x+[SECRET]h"),
+    ("-----BEGIN " + "VERY " * 20 + "PRIVATE KEY-----\nabcd\n-----END " + "VERY " * 20 + "PRIVATE KEY-----.", "[SECRET]."),
+])
+def test_no_length_is_too_much(spark, text, masked):
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    assert secrets.redact(docs).collect()[0].text == masked
