@@ -166,9 +166,14 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", mod: int =
     of a hash of their text, so the model does not depend on files or partitions. Without rows of both labels the score is
     the share of label 1, or 0.
     """
+    spark = docs.sparkSession
     rows = labelled(docs, labels, column, limit, mod, held).groupBy("key", "text").agg(F.max("label").alias("label"))
     part = F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int")
-    sample = cut(rows.orderBy("key", "text").limit(limit).select("text", "label", part.alias("part"), "key"), "toxic-sample")
+    # dealt by key before they are written, so that features are made by many tasks; the keys of a bounded sample are few
+    dealt = rows.select("text", "label", part.alias("part"), "key").repartition(4 * spark.sparkContext.defaultParallelism, "key")
+    sample = cut(dealt, "toxic-sample")
+    last = sample.select("key").orderBy("key").limit(limit).agg(F.max("key")).first()[0]
+    sample = sample.where(F.col("key") <= F.lit(last or 0))
     names = [f"c{k}" for k in range(2 * PARTS)]
     found = sample.mapInArrow(lambda batches: tb.tidy(_term_batches(batches)), "term long, " + ", ".join(f"{c} long" for c in names)).groupBy("term").agg(*(F.sum(c).alias(c) for c in names))
     of = lambda k, out: sum((F.col(c) for j, c in enumerate(names[k : k + PARTS]) if j != out), F.lit(0))
