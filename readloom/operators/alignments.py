@@ -179,9 +179,9 @@ def merge_matrices(tables: list[DataFrame]) -> DataFrame:
     return out.groupBy("gene_id", "cell_id").agg(F.sum("count").alias("count"))
 
 
-def wide_matrix(counts: DataFrame, cells: list[str]) -> DataFrame:
+def wide_matrix(counts: DataFrame, cells: list[str], gene: str = "gene_id") -> DataFrame:
     """A row a gene, a column a cell, 0 where there is no count: for export."""
-    return counts.groupBy("gene_id").pivot("cell_id", cells).agg(F.sum("count")).na.fill(0)
+    return counts.groupBy(gene).pivot("cell_id", cells).agg(F.sum("count")).na.fill(0)
 
 
 def natural_key(name: str) -> list:

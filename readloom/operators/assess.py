@@ -29,6 +29,18 @@ def occurrences(reads: DataFrame, columns: list[str], with_parts: bool = False)
     return kept.select("ReadName", F.explode(F.array(*parts)).alias("p")).select("ReadName", "p.segment", F.posexplode("p.seqs").alias("k", "seq"))
 
 
+def true_occurrences(truth: DataFrame, columns: list[str]) -> DataFrame:
+    """ReadName, segment, k, seq of the k-th run of bases with each label, from read and labels (names, one a base)."""
+    n = F.size("labels")
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("labels", i) != F.get("labels", i - 1)))
+    ends = F.concat(F.slice(F.col("__s"), F.lit(2), F.size("__s")), F.array(n))
+    runs = truth.where(n > 0).withColumn("__s", starts)
+    runs = runs.withColumn("__r", F.zip_with("__s", ends, lambda a, z: F.struct(F.get("labels", a).alias("segment"), F.col("read").substr(a + 1, z - a).alias("seq"))))
+    seqs = lambda c: F.transform(F.filter("__r", lambda r: r["segment"] == c), lambda r: r["seq"]).alias("seqs")
+    of = [F.struct(F.lit(c).alias("segment"), seqs(c)) for c in columns]
+    return runs.select("ReadName", F.explode(F.array(*of)).alias("p")).select("ReadName", "p.segment", F.posexplode("p.seqs").alias("k", "seq"))
+
+
 def segment_edits(truth: DataFrame, predicted: DataFrame) -> DataFrame:
     """ReadName, segment, k, distance, normalised: Levenshtein distance of the k-th occurrences; a missing one counts as empty. Normalised by the true length, 1 if that is 0."""
     keys = ["ReadName", "segment", "k"]
@@ -46,17 +58,21 @@ def distance_summary(edits: DataFrame, value: str = "distance") -> DataFrame:
 
 
 def labels_of(reads: DataFrame, columns: list[str], default: str = "cDNA") -> DataFrame:
-    """ReadName and labels (array, one a base) rebuilt from coordinates; of overlapping segments the later column wins."""
-    start = F.transform(F.sequence(F.lit(0), F.greatest(F.length("read") - 1, F.lit(0))), lambda i: F.lit(default))
-    out = start
-    for c in columns:
-        inside = lambda i, c=c: F.exists(F.arrays_zip(F.col(f"{c}_Starts").alias("a"), F.col(f"{c}_Ends").alias("z")), lambda x: (x["a"] <= i) & (i < x["z"]))
-        out = _relabel(out, c, inside)
-    return reads.select("ReadName", F.slice(out, F.lit(1), F.length("read")).alias("labels"))
+    """ReadName and labels (array, one a base) rebuilt from coordinates; of overlapping segments the later column wins.
 
-
-def _relabel(labels, name: str, inside):
-    return F.transform(labels, lambda old, i: F.when(inside(i), F.lit(name)).otherwise(old))
+    Labels are painted as a text of one character a base, a segment at a time, and become names at the end.
+    """
+    code = {name: chr(0x4E00 + k) for k, name in enumerate(dict.fromkeys([default, *columns]))}
+    none = F.array().cast("array<int>")
+    text = F.repeat(F.lit(code[default]), F.length("read"))
+    for c in columns:
+        spans = F.arrays_zip(F.coalesce(f"{c}_Starts", none).alias("a"), F.coalesce(f"{c}_Ends", none).alias("z"))
+        char = F.lit(code[c])
+        text = F.aggregate(spans, text, lambda acc, x: F.overlay(acc, F.repeat(char, x["z"] - x["a"]), x["a"] + 1, x["z"] - x["a"]))  # noqa: B023
+    names = F.create_map(*(F.lit(x) for name, char in code.items() for x in (char, name)))
+    painted = reads.select("ReadName", text.substr(F.lit(1), F.length("read")).alias("__t"))
+    chars = F.filter(F.split("__t", ""), lambda x: x != "")
+    return painted.select("ReadName", F.transform(chars, lambda x: names[x]).alias("labels"))
 
 
 def label_scores(pairs: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.batching import with_backoff
+
 #: Codes of bases for a network; others, and padding, are 0.
 CODES = {"A": 1, "C": 2, "G": 3, "T": 4, "N": 5}
 
@@ -39,17 +41,22 @@ def padded_width(bin_end: int, kernels: list[tuple[int, int]] | None = None) ->
 
 
 def with_model(reads: DataFrame, make: Callable[[], Callable[[np.ndarray], np.ndarray]], names: list[str], width: int | None = None, batch: int = 32) -> DataFrame:
-    """Labels by a user's model: make() builds, once a worker, a function from codes (reads x width) to class ids of the same shape. Class names are sorted, as a binarizer sorts them."""
+    """Labels by a user's model: make() builds, once a worker, a function from codes (reads x width) to class ids of the same shape. Class names are sorted, as a binarizer sorts them. Where memory runs out, batches are halved."""
     known = sorted(names)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
-        for b in batches:
-            labels: list[list[str]] = []
-            for lo in range(0, len(b), batch):
-                part = b["read"].iloc[lo : lo + batch].tolist()
+
+        def label(texts: list[str], size: int) -> list[list[str]]:
+            out: list[list[str]] = []
+            for lo in range(0, len(texts), size):
+                part = texts[lo : lo + size]
                 ids = model(encode(part, width or max(map(len, part), default=1)))
-                labels += [[known[i] for i in row[: len(r)]] for r, row in zip(part, ids, strict=True)]
+                out += [[known[i] for i in row[: len(r)]] for r, row in zip(part, ids, strict=True)]
+            return out
+
+        for b in batches:
+            labels = with_backoff(lambda size, texts=b["read"].tolist(): label(texts, size), batch)
             yield b.assign(labels=labels)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in reads.schema) + ", labels array<string>"

@@ -296,11 +296,11 @@ def gene_body_coverage(blocks: DataFrame, exons: DataFrame, bins: int = COVERAGE
     return every.join(hit, "percentile", "left").na.fill(0, ["coverage"])
 
 
-def blocks_of(alignments: DataFrame) -> DataFrame:
-    """Aligned blocks (M, =, X) of alignments that count: not unmapped, secondary, failed or duplicate."""
+def blocks_of(alignments: DataFrame, without: int = 0x4 | 0x100 | 0x200 | 0x400) -> DataFrame:
+    """Aligned blocks (M, =, X) of alignments with none of the flags: unmapped, secondary, failed, duplicate."""
     from .alignments import has
 
-    kept = alignments.where(~has(0x4 | 0x100 | 0x200 | 0x400))
+    kept = alignments.where(~has(without))
     ops = F.transform(F.regexp_extract_all("cigar", F.lit(r"([0-9]+)([MIDNSHP=X])"), F.lit(0)), lambda c: F.struct(F.regexp_extract(c, "^([0-9]+)", 1).cast("long").alias("n"), F.substring(c, -1, 1).alias("op")))
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
 

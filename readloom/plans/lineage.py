@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -37,6 +38,15 @@ def run_dir(spark: SparkSession) -> str:
     return _OWN[app]
 
 
+def share(spark: SparkSession, local: str, name: str) -> str:
+    """A copy of a file of the driver's in the shared folder, for executors to read."""
+    path = f"{run_dir(spark)}/{name}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    source = spark._jvm.org.apache.hadoop.fs.Path("file://" + os.path.abspath(local))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).copyFromLocalFile(source, target)
+    return path
+
+
 def release(spark: SparkSession) -> None:
     """Deletes the tables written so far. Results that are still to be read need them."""
     if path := _OWN.pop(spark.sparkContext.applicationId, None):

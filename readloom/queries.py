@@ -377,6 +377,16 @@ def near_duplicate_pairs(spark, sf_dir):
     return pairs.select(F.get("a", F.lit(0)).alias("a"), F.get("b", F.lit(0)).alias("b"))
 
 
+_DNA = "substring(translate(md5(cast({0} as varchar(20))), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 4)"
+_TWO = f"select distinct {_DNA.format('p_partkey % 97')} as a, {_DNA.format('p_size')} as b from {{part}}"
+
+
+@query(f"""with t as ({_TWO.format(part="part")}) select concat(x.a, '-', x.b) as one, concat(y.a, '-', y.b) as other from t x, t y where levenshtein(x.a, y.a) + levenshtein(x.b, y.b) = 1""")
+def near_pairs_of_two_columns(spark, sf_dir):
+    pairs = discovery.near_pairs(spark.sql(_TWO, part=table(spark, sf_dir, "part")), ["a", "b"])
+    return pairs.select(F.array_join("a", "-").alias("one"), F.array_join("b", "-").alias("other"))
+
+
 _MERGE = """
 with recursive c as materialized (select *, row_number() over (order by read_count desc, "CBC") as o from ({counts})),
 q as (select a.o, list(b.o order by b.o) as nb from c a join c b on b.o < a.o and levenshtein(a."CBC", b."CBC") = 1 group by a.o),
@@ -541,7 +551,8 @@ def cell_buckets(spark, sf_dir):
 select gene_id, split_part(qname, '_', 2) as cell_id, count(distinct qname) as count from a join g on a.rname = g.rname and a.s < ge and gs < a.e where a.flag & 4 = 0 group by all""")
 def gene_counts(spark, sf_dir):
     exons = spark.sql("select rname, concat('g', cast(j as string)) as gene_id, j * 150 as start, j * 150 + 90 as end from (select explode(array('click', 'view', 'purchase', 'signup', 'login', 'error')) as rname) lateral view explode(sequence(0, 7)) t as j")
-    return al.gene_counts(al.with_name_parts(alignments(spark, sf_dir)).withColumn("cb", F.col("name_cb")), exons, width=200)
+    mapped = al.with_name_parts(al.pass_flags(alignments(spark, sf_dir), al.UNMAPPED)).withColumn("cb", F.col("name_cb"))
+    return al.gene_counts(mapped, exons, width=200)
 
 
 _BLOCKS = """select concat('q', cast(l_orderkey as varchar(20))) as qname, concat('c', cast(l_suppkey % 50 as varchar(20))) as cb, l_returnflag as rname, case when l_linenumber % 2 = 0 then '-' else '+' end as strand,

@@ -227,9 +227,10 @@ def by_region(alignments: DataFrame, parts: int | None = None) -> DataFrame:
     return alignments.repartitionByRange(parts, *order) if parts else alignments.repartitionByRange(*order)
 
 
-def sam_lines(alignments: DataFrame) -> DataFrame:
-    """value: SAM lines (qualities unknown) with the tags that are there, in file order."""
+def sam_lines(alignments: DataFrame, by_place: bool = False) -> DataFrame:
+    """value: SAM lines (qualities unknown) with the tags that are there, in file order, or by contig and place with unmapped ones last."""
     star = lambda c: F.coalesce(F.col(c), F.lit("*"))
     tags = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c.upper()}:Z:"), F.col(c))) for c in ("cb", "ub", "dt")]
     line = F.concat_ws("\t", "qname", F.col("flag").cast("string"), star("rname"), (F.col("start") + 1).cast("string"), F.col("mapq").cast("string"), star("cigar"), F.lit("*"), F.lit("0"), F.lit("0"), star("seq"), F.lit("*"), *tags)
-    return alignments.orderBy("ord").select(line.alias("value"))
+    order = [F.col("rname") == "*", "rname", "start", "ord"] if by_place else ["ord"]
+    return alignments.orderBy(*order).select(line.alias("value"))

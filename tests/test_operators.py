@@ -189,3 +189,64 @@ def test_gene_body_coverage_of_whole_tables(spark):
     assert got == sorted(con.sql(queries.ORACLES["gene_body_coverage"]).fetchall())
     first = con.sql(queries.ORACLES["gene_body_coverage"]).fetchall()
     assert sum(n for _, n in got) > 5 * sum(n for _, n in first)
+
+
+@pytest.mark.parametrize("threshold", [1, 2, 3])
+def test_near_barcodes_by_pieces_and_by_deletions(spark, monkeypatch, threshold):
+    """Both ways find every pair within the threshold, of barcodes of several lengths, and no other; none compares all pairs."""
+    rng = random.Random(threshold)
+    seqs = sorted({"".join(rng.choice("ACGT") for _ in range(rng.choice([5, 7, 8]))) for _ in range(60)})
+    probes = sorted({"".join(rng.choice("ACGT") for _ in range(rng.choice([0, 3, 6, 7, 9]))) for _ in range(120)})
+    left = spark.createDataFrame([(p, 0, p) for p in probes], "seq string, side int, probe string")
+    right = spark.createDataFrame([(s, k) for k, s in enumerate(seqs)], "barcode string, place int")
+    want = sorted((p, s, lev(p, s)) for p in probes for s in seqs if lev(p, s) <= threshold)
+    for many in (0, 10**6):
+        monkeypatch.setattr(barcodes, "MANY", many)
+        pairs = barcodes._near(left, right, threshold)
+        assert sorted((r.seq, r.barcode, r.dist) for r in pairs.collect()) == want
+        assert "CartesianProduct" not in (plan := pairs._jdf.queryExecution().toString()) and "NestedLoop" not in plan
+
+
+def test_crowded_keys_have_the_leaders_of_the_fold(spark, monkeypatch):
+    """Keys with more UMIs than are folded in one row: rounds of joins, with ties of place and UMIs near several leaders."""
+    rng = random.Random(5)
+    rows = [(k, f"r{k}_{rng.choice('12')}_" + "".join(rng.choice("AC") for _ in range(7)), 0, rng.choice(["x", "y"]), 10 + rng.randrange(9), 100 + rng.randrange(9)) for k in range(400)]
+    df = spark.createDataFrame(rows, "ord long, qname string, flag int, rname string, start long, end long")
+    for threshold in (0, 1, 2):
+        monkeypatch.setattr(al, "FOLDED", 10**6)
+        want = sorted(map(tuple, al.umi_decisions(df, threshold).select("ord", "name_umi", "umi_leader", "is_dup").collect()))
+        monkeypatch.setattr(al, "FOLDED", 5)
+        assert sorted(map(tuple, al.umi_decisions(df, threshold).select("ord", "name_umi", "umi_leader", "is_dup").collect())) == want
+        assert len({w[2] for w in want}) > 1
+
+
+def test_ranks_need_no_single_task(spark):
+    """Places over many partitions, nearly all of one count; no window over all rows."""
+    rng = random.Random(6)
+    rows = [(f"b{k:05d}", 1 if rng.random() < 0.95 else rng.randrange(2, 9)) for k in range(5000)]
+    rng.shuffle(rows)
+    ranked = discovery.ranked(spark.createDataFrame(rows, "CBC string, read_count long").repartition(9))
+    want = {b: k for k, (b, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), 1)}
+    assert {r.CBC: r["rank"] for r in ranked.collect()} == want
+    assert "Window" not in ranked._jdf.queryExecution().toString()
+    assert discovery.ranked(spark.createDataFrame([], "CBC string, read_count long")).count() == 0
+
+
+def test_a_spliced_read_does_not_count_for_what_it_jumps(spark):
+    rows = [("a", 0, "c", 100, "10M90N10M", "1"), ("b", 16, "c", 150, "20M", "1"), ("d", 256, "c", 150, "20M", "1"), ("e", 4, "c", 150, "20M", "1")]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, start long, cigar string, cb string")
+    genes = spark.createDataFrame([("c", 95, 130, "left", "+"), ("c", 140, 180, "inside", "+"), ("c", 160, 220, "right", "-")], "rname string, start long, end long, gene_id string, strand string")
+    count = lambda **how: {r.gene_id: r["count"] for r in al.gene_counts(qc.blocks_of(df, al.UNMAPPED), genes, 50, **how).collect()}
+    assert count() == {"left": 1, "right": 3, "inside": 2}
+    assert count(stranded=True) == {"left": 1, "inside": 1, "right": 1} and count(overlapping=False) == {}
+
+
+def test_structures_are_judged_once_an_order_and_reads_are_not_moved(spark):
+    from readloom.operators import structure
+
+    s = structure.Segments((("5p", "5"), ("cDNA", "D"), ("3p", "3")), (("5p", "cDNA", "3p"),))
+    reads = spark.createDataFrame([(f"r{k}", "ACGT" * 5, ("5" * 8 + "D" * 10 + "33") if k % 3 else "D" * 20) for k in range(300)], "ReadName string, read string, labels string")
+    done = structure.with_structure(structure.with_runs(reads, "labels", s), s)
+    assert done.where("structure.valid").count() == 200
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan and "SortMergeJoin" not in plan and "MapInPandas" not in plan and "ArrowEvalPython" not in plan

@@ -226,7 +226,7 @@ def test_annotation_tables(spark, tmp_path):
     (tmp_path / "w.tsv").write_text("# made\nCBC\ti5\nAA\tCC\nGG\tTT\n")
     assert [tuple(r) for r in tables.read_whitelist(spark, str(tmp_path / "w.tsv")).collect()] == [(1, "AA", "CC"), (2, "GG", "TT")]
     (tmp_path / "f.txt").write_text("# cmd\nGeneid\tChr\tStart\tEnd\tStrand\tLength\tc1.bam\nG1\tc\t1\t2\t+\t2\t7\n")
-    assert [tuple(r) for r in tables.counts_of(spark, str(tmp_path / "f.txt")).collect()] == [("G1", "c1.bam", 7)]
+    assert [tuple(r) for r in tables.read_matrix(spark, str(tmp_path / "f.txt")).collect()] == [("G1", "c1.bam", 7)]
     (tmp_path / "s1").write_text("Status\t/x/a.bam\nAssigned\t3\n")
     (tmp_path / "s2").write_text("Status\t/y/a.bam\t/y/b.bam\nAssigned\t9\t4\n")
     assert sorted(tuple(r) for r in tables.read_assignments(spark, [str(tmp_path / "s1"), str(tmp_path / "s2")]).collect()) == [("a", "Assigned", 3), ("b", "Assigned", 4)]
@@ -259,6 +259,89 @@ def test_commands_end_to_end(spark, tmp_path):
     assert (tmp_path / "out/read_architecture.tsv").read_text().splitlines()[2].startswith("Total\t40")
     run("assess-model", *base, "--truth", tmp_path / "sim", "--annotations", tmp_path / "ann/annotations", "--out", tmp_path / "out")
     assert "whole" in (tmp_path / "out/structure_accuracy.tsv").read_text()
+    assert all((tmp_path / f"out/{n}").exists() for n in ("barcode_discovery.tsv", "cdna_length_per_cell.tsv", "report.html"))
+
+
+NETWORK = """
+def parity(codes):
+    return codes % 2
+
+def make_parity():
+    return parity
+
+def trained(path, classes, entry):
+    return {"loss": entry["lr"], "classes": len(classes)}
+"""
+
+
+def test_networks_bins_and_trainers(spark, tmp_path):
+    """A network in annotate-reads, bin by bin; a run that stopped after the first bin goes on with the second; a trainer gets every entry."""
+    (tmp_path / "own_network.py").write_text(NETWORK)
+    spark.sparkContext.addPyFile(str(tmp_path / "own_network.py"))
+    lib = configuration()
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(lib))
+    (tmp_path / "p.yaml").write_text(yaml.safe_dump({"small": {"lr": [0.1, 0.2], "epochs": 2}}))
+    base = ["--config", str(tmp_path / "c.yaml"), "--model", "small"]
+    rows = [("a", "ACGT" * 10, 40, "0_499bp"), ("b", "GGCC" * 150, 600, "500_999bp")]
+    spark.createDataFrame(rows, "ReadName string, read string, read_length long, length_bin string").write.partitionBy("length_bin").parquet(str(tmp_path / "reads"))
+    run = ["annotate-reads", *base, "--reads", str(tmp_path / "reads"), "--out", str(tmp_path / "out"), "--network", "own_network:make_parity", "--classes", "cDNA,lead", "--by-bin"]
+    commands.main(run, spark)
+    done = spark.read.parquet(str(tmp_path / "out/annotations"))
+    assert {(r.ReadName, r.length_bin, r.architecture) for r in done.collect()} == {("a", "0_499bp", "invalid"), ("b", "500_999bp", "invalid")}
+    assert {r.ReadName: r.lead_Starts[:2] for r in done.collect()} == {"a": [0, 2], "b": [0, 4]}
+    progress.save(str(tmp_path / "out/checkpoint.txt"), 1, "0_499bp", 0, 8192)
+    before = {f: (tmp_path / "out/annotations" / f / "_SUCCESS").stat().st_mtime_ns for f in ("length_bin=0_499bp", "length_bin=500_999bp")}
+    commands.main(run, spark)
+    after = {f: (tmp_path / "out/annotations" / f / "_SUCCESS").stat().st_mtime_ns for f in before}
+    assert after["length_bin=0_499bp"] == before["length_bin=0_499bp"] and after["length_bin=500_999bp"] > before["length_bin=500_999bp"]
+    spark.createDataFrame([("a", "ACG", ["x", "y", "y"])], "ReadName string, read string, labels array<string>").write.parquet(str(tmp_path / "data"))
+    commands.main(["train-model", *base, "--params", str(tmp_path / "p.yaml"), "--data", str(tmp_path / "data"), "--out", str(tmp_path / "batches"), "--trainer", "own_network:trained"], spark)
+    import json
+
+    plan = json.loads((tmp_path / "batches.json").read_text())
+    assert plan["classes"] == ["x", "y"] and plan["history"] == [{"loss": 0.1, "classes": 2}, {"loss": 0.2, "classes": 2}]
+    assert spark.read.parquet(str(tmp_path / "batches")).first().ids == [0, 1, 1]
+
+
+def test_assessment_in_stages(spark, tmp_path):
+    """Simulated, binned, annotated by their labels and scored; a second run does only what is missing."""
+    lib = configuration()
+    long = PIECES | {"lead": "CTACACGACGCTCTTCCGATCT", "well": "N16", "stop": "CCCATGTACTCTGCGTTG"}
+    lib["libraries"]["plate"]["segments"] = [{"name": n, "pattern": p} for n, p in long.items()]
+    lib["libraries"]["plate"]["assessment_structures"] = {k: lib["libraries"]["plate"]["training_structures"][k] | {"proportion": 0.5} for k in ("whole", "pair")}
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(lib))
+    run = ["assess-model", "--config", str(tmp_path / "c.yaml"), "--model", "small", "--out", str(tmp_path / "out"), "--num-reads", "40", "--concat-fraction", "0.25", "--max-read-length", "900", "--mismatch-rate", "0", "--insertion-rate", "0", "--deletion-rate", "0"]
+    (tmp_path / "out").mkdir()
+    commands.main(run, spark)
+    sims = spark.read.parquet(str(tmp_path / "out/simulated"))
+    kinds = {r.structure_type: r["count"] for r in sims.groupBy("structure_type").count().collect()}
+    assert sum(kinds.values()) == 40 and 3 <= kinds["pair"] <= 18 and sims.agg(F.max(F.length("read"))).first()[0] <= 900
+    scores = {x.split("\t")[0]: x.split("\t")[1:] for x in (tmp_path / "out/label_scores.tsv").read_text().splitlines()[1:]}
+    assert scores["lead"][:3] == ["1.0", "1.0", "1.0"]
+    edits = [x.split("\t") for x in (tmp_path / "out/edit_distance.tsv").read_text().splitlines()[1:]]
+    assert {e[0] for e in edits} == {"lead", "well", "tag", "stop"} and all(float(v) == 0 for e in edits for v in e[2:])
+    before = (tmp_path / "out/simulated/_SUCCESS").stat().st_mtime_ns
+    commands.main(run, spark)
+    assert (tmp_path / "out/simulated/_SUCCESS").stat().st_mtime_ns == before
+
+
+def test_inputs_are_found(spark, tmp_path):
+    """Parquet before text, the first of the names that is there; chunks that lack columns of others; text becomes arrays."""
+    (tmp_path / "chunks").mkdir()
+    (tmp_path / "chunks/a.tsv").write_text("ReadName\tread_length\tlead_Starts\tlead_Ends\nr1\t20\t0, 9\t4, 12\n")
+    (tmp_path / "chunks/b.tsv").write_text("ReadName\tread_length\treason\nr2\t7\tshort\n")
+    got = {r.ReadName: (r.read_length, r.lead_Starts, r.reason) for r in tables.read_annotations(spark, str(tmp_path), ["none", "chunks"]).collect()}
+    assert got == {"r1": (20, [0, 9], None), "r2": (7, [], "short")}
+    spark.createDataFrame([("p",)], "ReadName string").write.parquet(str(tmp_path / "chunks/x"))
+    spark.createDataFrame([("p",)], "ReadName string").write.parquet(str(tmp_path / "corrected"))
+    assert [r.ReadName for r in tables.read_annotations(spark, str(tmp_path), ["corrected", "chunks"]).collect()] == ["p"]
+    assert tables.find(spark, str(tmp_path), ["no", "chunks", "corrected"]).endswith("/chunks") and tables.find(spark, str(tmp_path), ["no"]) is None
+
+
+def test_whitelist_rows_keep_their_order(spark, tmp_path, small_parts):
+    (tmp_path / "w.tsv").write_text("# note\nA\tB\n\n" + "".join(f"a{k * 7919 % 1000}\tb{k}\n" for k in range(500)))
+    got = tables.read_whitelist(spark, str(tmp_path / "w.tsv")).orderBy("cell_id").collect()
+    assert [tuple(r) for r in got] == [(k + 1, f"a{k * 7919 % 1000}", f"b{k}") for k in range(500)]
 
 
 def test_stream_of_alignments(spark, tmp_path):
