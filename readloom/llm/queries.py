@@ -72,7 +72,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
-# ---- the columns of four of them that SQL can express
+# ---- what SQL can express of some of them
+
+DECODED_SQL = "select doc_id, sha256(coalesce(text, '')) as text_sha256 from documents"
+
+
+def merge_dropout_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts that come back from the ids of op1."""
+    import public_tokenizers
+
+    back = merge_dropout.decode(op1_merge_dropout(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return back.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
 
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -141,9 +152,9 @@ def language_model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_merge_dropout, op2_toxicity, op3_block_topk, op4_pitman_yor, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join, language_model_base, secret_base, rules_base, license_base)
+    named = (op1_merge_dropout, op2_toxicity, op3_block_topk, op4_pitman_yor, op5_secrets, op6_quality_rules, op7_quality_qda, op8_packing, op9_licenses, op10_jaccard_join, merge_dropout_decoded, language_model_base, secret_base, rules_base, license_base)
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_block_topk": OP3_SQL, "language_model_base": LANGUAGE_MODEL_SQL, "secret_base": SECRET_SQL, "rules_base": RULES_SQL, "license_base": LICENSE_SQL}
+    return {"op3_block_topk": OP3_SQL, "merge_dropout_decoded": DECODED_SQL, "language_model_base": LANGUAGE_MODEL_SQL, "secret_base": SECRET_SQL, "rules_base": RULES_SQL, "license_base": LICENSE_SQL}
