@@ -54,6 +54,14 @@ def release(spark: SparkSession) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Lets the files of shuffles go that no plan needs any more: those behind a table that `cut` has written.
+
+    Spark deletes them once the driver's JVM has collected what refers to them, which by itself it may do much later.
+    """
+    spark._jvm.System.gc()
+
+
 def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends here, and a lost executor costs no recomputation.
 
