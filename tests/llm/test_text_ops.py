@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from readloom.llm import boosting, features, licenses, packing, quality_qda, quality_rules, secrets, toxicity
+from readloom.llm import boosting, features, licenses, packing, quality_qda, quality_rules, ranks, secrets, toxicity
 from readloom.llm import textbatch as tb
 
 SF = "/root/testdata/sf0.001"
@@ -369,6 +369,36 @@ def test_quality_rules_on_labelled_rows_left_out_of_the_fit(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.05, (len(good), np.mean(good), len(bad), np.mean(bad))
 
 
+@pytest.mark.parametrize(("digit", "few"), [(10, 1 << 18), (7, 50)])
+def test_exact_quantiles_in_passes(spark, monkeypatch, digit, few):
+    monkeypatch.setattr(ranks, "DIGIT", digit)
+    monkeypatch.setattr(ranks, "FEW", few)
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.normal(size=1500), np.zeros(1500), np.repeat([0.0, 1.0, -2.5], 500), rng.random(1500) ** 9])
+    rows = spark.createDataFrame([(r,) for r in x.tolist()], "x array<double>").repartition(3)
+    q = np.array([0, 0.02, 0.5, 0.731, 0.998, 1])
+    assert np.allclose(np.array(ranks.quantiles(rows, 1500, [q] * 4)).T, np.quantile(x, q, axis=0), rtol=1e-12, atol=1e-12)
+
+
+def test_quality_rules_learn_from_all_labelled_rows(spark, monkeypatch):
+    """More good rows than the 20 000 that were taken before: range and threshold follow all of them."""
+    rng = np.random.default_rng(1)
+    n = 24_000
+    x = np.abs(rng.normal(size=(n, len(quality_rules.RULES))))
+    x[:600] += 9  # odd rows are bad
+    rows = [(k, r, int(k >= 600)) for k, r in enumerate(x.tolist())]
+    monkeypatch.setattr(quality_rules, "_labelled", lambda docs, labels, column: spark.createDataFrame(rows, "key long, x array<double>, label int"))
+    v = quality_rules.train(None, None)
+    assert np.allclose([v.excess.low, v.excess.mid, v.excess.high], np.quantile(x[600:], [0.02, 0.5, 0.98], axis=0))
+    a = v.forest.anomaly(v.excess(x))
+    assert 0 < (a[600:] > v.threshold).mean() <= 0.0021 or (a[600:] <= v.threshold).all()
+    assert (a[:600] > v.threshold).mean() > 0.99
+    docs = spark.range(21_500).selectExpr("id as doc_id", "array_join(transform(sequence(1, 60), i -> concat('w', id, 'x', i)), ' ') as text")
+    labels = docs.selectExpr("doc_id", "1 as quality")
+    monkeypatch.undo()
+    assert quality_rules._labelled(docs, labels, "quality").count() == 21_500
+
+
 def test_a_text_with_very_many_secrets(spark):
     """200 000 matches in one text of some megabytes: places by plain regular expressions, all masked."""
     text = " ".join(f"é token=abcdef{k} {'0f' * 13} x" if k % 2 else f"AKIA{'A' * 16} y{k}" for k in range(100_000))
