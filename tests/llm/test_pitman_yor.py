@@ -274,3 +274,71 @@ def test_sums_of_draws():
     sizes = np.array([1, 2, 5, 200_000])
     got = np.mean([py.successes(rng, sizes, 3.0, 4.0) for _ in range(4000)])
     assert abs(got - sum(min(1, 3 / (4 + j)) for n in sizes.tolist() for j in range(1, n))) < 0.3
+
+
+def test_head_words_are_counted_over_all_texts(spark, monkeypatch):
+    """However many characters there are, no text is left out: a sample of so few held nearly none of these."""
+    monkeypatch.setattr(py, "SAMPLE_CHARS", 10, raising=False)
+    rows = texts(200, 300)
+    want = Counter(w for t in rows for w in [*t.split(), None])
+    found = py.head_words(spark.createDataFrame([(t,) for t in rows], "text string"), py.HEAD)
+    hashed = {}
+    for w in want:
+        h = py.tokens(np.frombuffer((w or "").encode(), np.uint8), np.array([0, len(w or "")]))[0]
+        hashed[int(h[0])] = want[w]
+    assert len(found) == len(want)
+    assert [hashed[h] for h in found.tolist()] == sorted(want.values(), reverse=True)
+    assert py.head_words(spark.createDataFrame([(t,) for t in rows], "text string"), 5).tolist() == found[:5].tolist()
+
+
+def test_pairs_of_rare_words_are_reseated_alike_in_both_buckets(monkeypatch):
+    """All words are tail words, over three buckets that tell each other the totals: repeated pairs get further tables, the same at both ends."""
+    monkeypatch.setattr(py, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(py, "EXPLICIT", 25)
+    rows = texts(60, 12)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(rows), pa.array([0] * 60, pa.int32())], names=["doc_id", "text", "fold"])
+    dealt = pa.Table.from_batches(py._chunks(py.Codes(np.zeros(0, np.uint64)), 3, 2, iter([batch])))
+    of = {b: py._merge(dealt.filter(pa.compute.equal(dealt["bucket"], b)), 3)["model"][0].as_py() for b in range(3)}
+    buckets = {b: py.Bucket(m) for b, m in of.items()}
+    counted, h = sum(b.counted() for b in buckets.values()), py.HEAD
+    assert sum(len(b.q) for b in buckets.values()) > 100
+
+    def totals():
+        s = sum(b.summed() for b in buckets.values())
+        return py.Totals(counted[:h], s[:h], s[h : 2 * h], float(s[h:].sum()), 20.0, 0.5, counted[2 * h + 1] + (counted[h : 2 * h] > 0).sum())
+
+    seating, sent = {}, [(to, kind, b, data) for b, own in buckets.items() for to, kind, data in own.mail()]
+    for _ in range(3):
+        now, after = [], [totals()]
+        for b, own in buckets.items():
+            heard = tuple(np.frombuffer(b"".join(data for to, k, _, data in sorted(sent) if (to, k) == (b, kind)), "<u4").astype(float) for kind in (py.TABLES, py.CUSTOMERS))
+            assert [len(v) for v in heard] == [len(own.r), len(own.q)]
+            for _ in own.sweeps(b, after, seating.get(b), heard):
+                pass
+            seating[b] = own.state()
+            now += [(to, kind, b, data) for to, kind, data in own.mail()]
+        sent = now
+        # tables by pair, as the contexts' buckets and as the words' buckets have them
+        q = {(b, to, k): t for b, own in buckets.items() for to, k, t in zip(np.repeat(own.q_to, own.q_n).tolist(), [k for n in own.q_n.tolist() for k in range(n)], own.tq[own.q].tolist(), strict=True)}
+        r = {(to, b, k): t for b, own in buckets.items() for to, k, t in zip(np.repeat(own.r_to, own.r_n).tolist(), [k for n in own.r_n.tolist() for k in range(n)], own.tr[own.r].tolist(), strict=True)}
+        assert q == r and sum(t > 1 for t in q.values()) > len(q) / 4
+        assert sum(b.tables_q.sum() for b in buckets.values()) == sum(b.parent_q.sum() for b in buckets.values())
+
+
+@pytest.mark.parametrize("explicit", [1 << 14, 1])
+def test_keyed_seats_follow_their_dish_and_have_the_exact_distribution(monkeypatch, explicit):
+    monkeypatch.setattr(py, "EXPLICIT", explicit)
+    n, new, d, m = 9, 1.5, 0.6, 3000 if explicit > 1 else 300
+    keys = np.arange(m).astype(np.uint64) * py.END
+    rng = np.random.default_rng(4)
+    dishes = py.Dishes(rng, np.full(m, n), np.full(m, new), d, keys)
+    some = py.Dishes(rng, np.append(np.full(50, n), 7), np.full(51, new), d, np.append(keys[50:100], py.BEGIN))
+    got = np.zeros(n + 2)
+    for k in range(25):
+        dishes.sweep(rng, np.full(m, new), d)
+        some.sweep(rng, np.full(51, new), d)
+        assert (dishes.tables()[50:100] == some.tables()[:50]).all()
+        if k >= 5:
+            got += np.bincount(dishes.tables(), minlength=n + 2)
+    want = ways(n, d) * new ** np.arange(n + 2)
+    assert np.abs(got / got.sum() - want / want.sum()).max() < (0.015 if explicit > 1 else 0.06)
